@@ -66,4 +66,4 @@ TITLE_NOISE = r"&quot;|\[转帖\]|转载"
 SENTENCE_MARKS = r"[。！？.!?]"
 SUMMARY_MARKS = r"[。？?!！；;▪]|</p>|<p>"
 SUMMARY_NOISE = r"网页链接|我发表了头条文章:"
-MARKUP_NOISE = r"<p>|</p>"
+TOKEN_NOISE = r"尊敬的读者[.]+|网页链接|<p>|</p>"

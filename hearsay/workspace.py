@@ -41,3 +41,13 @@ class Rounds:
     def drop(self, table: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores before a step that multiplies rows or work.
+
+    A scan of many files already has more partitions than cores and passes through unchanged; only a
+    small input, which one task would read, is redistributed.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
