@@ -205,7 +205,7 @@ def extract_summary(
         F.array_sort(
             F.transform(
                 F.arrays_zip("_s", "_r"),
-                lambda x, i: F.struct((-F.round(x["_r"], 9)).alias("o"), i.alias("i"), x["_s"]["s"].alias("s")),
+                lambda x, i: F.struct((-F.round(x["_r"], 7)).alias("o"), i.alias("i"), x["_s"]["s"].alias("s")),
             )
         ),
         1,
@@ -276,7 +276,7 @@ def event_summary(
     )
     rows = rows.withColumn("bag", multiset(tokens_of(F.col("sentence")))).filter("size(bag) > 0")
     scores = group_sentence_scores(rows.select(event, order, "pos", "bag"), event, [order, "pos"])
-    ranked = scores.withColumn("o", -F.round("score", 9))
+    ranked = scores.withColumn("o", -F.round("score", 7))
     best = F.min_by(F.struct(order, "pos"), F.struct("o", order, "pos"))
     first = ranked.groupBy(event).agg(best.alias("b")).select(event, f"b.{order}", "b.pos", F.lit(1).alias("k"))
     second = (

@@ -127,7 +127,7 @@ def best_sql(key: str, views: str, longer_than: int, quote: bool = True) -> str:
     cut = f"""regexp_replace({cut}, '[''"]', '’', 'g')""" if quote else cut
     return f"""{views},
 sm AS (SELECT {key}, {cut} AS summary FROM (
-  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY round(score, 9) DESC, sid) AS o FROM rk)
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY round(score, 7) DESC, sid) AS o FROM rk)
   WHERE o <= 2 GROUP BY {key})"""
 
 
