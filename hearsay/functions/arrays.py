@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,4 +22,15 @@ def multiset(tokens: Column) -> Column:
             lambda t, i: F.concat(t, F.lit("#"), i + 2 - F.array_position(ordered, t).cast("int")),
         )
 
-    return let(F.array_sort(tokens), number)
+    return let(F.sort_array(tokens), number)
+
+
+def explode_once(df: DataFrame, array: Column, *names: str, keep: list[str | Column] = ()) -> DataFrame:
+    """``keep`` and one row per element: (pos, element) or (element,), by the number of names.
+
+    A plain explode of an expression also plans a filter on its size, which computes the expression a
+    second time. The outer form does not; the row it leaves for an empty array is dropped afterwards.
+    Elements must not be null.
+    """
+    explode = F.posexplode_outer if len(names) == 2 else F.explode_outer
+    return df.select(*keep, explode(array).alias(*names)).filter(F.col(names[-1]).isNotNull())

@@ -40,7 +40,7 @@ def event_section(mentions: DataFrame, matches: DataFrame, keys: list[str]) -> D
 
 
 def _listed(df: DataFrame, keys: list[str], item: str, value: Column, name: str) -> DataFrame:
-    pairs = F.array_sort(F.collect_list(F.struct(item, value.alias("v"))))
+    pairs = F.sort_array(F.collect_list(F.struct(item, value.alias("v"))))
     text = F.transform(pairs, lambda p: F.concat(p[item], F.lit(":"), p["v"]))
     return df.groupBy(*keys).agg(F.array_join(text, ",").alias(name))
 

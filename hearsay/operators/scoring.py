@@ -128,7 +128,7 @@ def influence_weight(matches: DataFrame, keys: list[str]) -> DataFrame:
     """
     column = "result_influence_weight"
     distinct = matches.select(*keys, column).distinct()
-    smallest = F.slice(F.array_sort(F.collect_list(column)), 1, 2)
+    smallest = F.slice(F.sort_array(F.collect_list(column)), 1, 2)
     mean = F.aggregate(smallest, F.lit(0.0), lambda s, x: s + x) / F.size(smallest)
     return distinct.groupBy(*keys).agg(mean.alias("influence_weight"))
 

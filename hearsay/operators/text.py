@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from hearsay import labels
 from hearsay.functions import strings
-from hearsay.functions.arrays import let, multiset
-from hearsay.workspace import Rounds, spread
+from hearsay.functions.arrays import explode_once, let, multiset
+from hearsay.workspace import Rounds, by_key, spread
 
 DAMPING = 0.85
 
@@ -28,7 +28,7 @@ def tokens_of(text: Column) -> Column:
 
 def tokenize(docs: DataFrame, key: str, text: str, stop_words: DataFrame | None = None) -> DataFrame:
     """(key, pos, token) rows without stop words."""
-    rows = docs.select(key, F.posexplode(tokens_of(F.col(text))).alias("pos", "token"))
+    rows = explode_once(docs, tokens_of(F.col(text)), "pos", "token", keep=[key])
     return rows if stop_words is None else rows.join(stop_words, "token", "left_anti")
 
 
@@ -41,19 +41,20 @@ def keyword_rank(
 ) -> DataFrame:
     """Top tokens of each text by TextRank on the graph of tokens at most ``window - 1`` apart.
 
-    Texts are shuffled once by key; the graph is built by aggregates on that partitioning, and the
-    rounds are a fold inside the row, so they move no data. Equal texts are ranked once.
+    Equal texts are ranked once. Texts are shuffled by key and their graphs are built by aggregates on
+    that partitioning; the rounds are a fold inside the row and move no data.
     """
-    tokens = F.col("tokens")
-    node = F.transform(tokens, lambda t: F.array_position("vocab", t).cast("int"))
-    docs = spread(docs.select(key, F.col(text).alias("_text")))
-    texts = docs.groupBy(F.sha2("_text", 256).alias("_h")).agg(F.any_value("_text").alias("_text"))
+    docs = spread(docs.select(key, F.col(text).alias("_text"), F.sha2(F.col(text), 256).alias("_h")))
+    texts = docs.groupBy("_h").agg(F.min(key).alias("_t"), F.any_value("_text").alias("_text"))
+    node = F.transform("tokens", lambda t: F.array_position("vocab", t).cast("int"))
     numbered = (
-        texts.select("_h", tokens_of(F.col("_text")).alias("tokens"))
-        .repartition("_h")
-        .select("_h", "tokens", F.array_distinct("tokens").alias("vocab"))
-        .select("_h", "vocab", node.alias("nodes"))
+        by_key(texts, "_t")
+        .select("_h", "_t", tokens_of(F.col("_text")).alias("tokens"))
+        .select("_h", "_t", "tokens", F.array_distinct("tokens").alias("vocab"))
+        .select("_h", "_t", "vocab", node.alias("nodes"))
     )
+    numbered = Rounds(docs.sparkSession, "keywords").write(numbered, "numbered")
+    nodes = by_key(numbered.select("_t", F.size("vocab").alias("v"), "nodes"), "_t")
     n = F.size("nodes")
     links = [
         F.arrays_zip(
@@ -62,23 +63,19 @@ def keyword_rank(
         )
         for d in range(1, window)
     ]
-    undirected = F.flatten(
-        F.transform(
-            F.flatten(F.array(*links)),
-            lambda e: F.array(
-                F.struct(e["a"].alias("a"), e["b"].alias("b")), F.struct(e["b"].alias("a"), e["a"].alias("b"))
-            ),
-        )
+    near = explode_once(nodes, F.flatten(F.array(*links)), "e", keep=["_t"]).filter("e.a <> e.b")
+    both = F.array(
+        F.struct(F.col("e.a").alias("a"), F.col("e.b").alias("b")),
+        F.struct(F.col("e.b").alias("a"), F.col("e.a").alias("b")),
     )
-    alone = F.transform("vocab", lambda _, i: F.struct((i + 1).alias("a"), F.lit(0).alias("b")))
-    edges = numbered.select("_h", F.explode(F.concat(undirected, alone)).alias("e")).select("_h", "e.a", "e.b")
+    edges = near.select("_t", F.explode(both).alias("e")).select("_t", "e.a", "e.b").distinct()
+    alone = nodes.filter("v > 0").select("_t", F.explode(F.sequence(F.lit(1), F.col("v"))).alias("a"))
     graph = (
-        edges.filter("a <> b")
-        .distinct()
-        .groupBy("_h", "a")
-        .agg(F.filter(F.array_sort(F.collect_list("b")), lambda b: b > 0).alias("near"))
-        .groupBy("_h")
-        .agg(F.array_sort(F.collect_list(F.struct("a", "near"))).alias("graph"))
+        edges.unionByName(alone.withColumn("b", F.lit(0)))
+        .groupBy("_t", "a")
+        .agg(F.filter(F.sort_array(F.collect_list("b")), lambda b: b > 0).alias("near"))
+        .groupBy("_t")
+        .agg(F.sort_array(F.collect_list(F.struct("a", "near"))).alias("graph"))
     )
 
     def score(x: Column, s: Column) -> Column:
@@ -97,7 +94,7 @@ def keyword_rank(
     )
     ranks = let(shares, lambda s: F.transform(adjacency, lambda x: score(x, s)))
     ordered = F.slice(
-        F.array_sort(
+        F.sort_array(
             F.transform(
                 F.arrays_zip(F.col("vocab").alias("t"), ranks.alias("r")),
                 lambda p: F.struct((-F.round(p["r"], 9)).alias("o"), p["t"].alias("token")),
@@ -106,11 +103,9 @@ def keyword_rank(
         1,
         top,
     )
-    words = numbered.select("_h", "vocab").join(graph, "_h").select("_h", ordered.alias("words"))
+    words = numbered.select("_h", "_t", "vocab").join(graph, "_t").select("_h", ordered.alias("words"))
     return (
-        docs.select(key, F.sha2("_text", 256).alias("_h"))
-        .join(words, "_h")
-        .select(key, F.posexplode("words").alias("rank", "w"))
+        explode_once(docs.select(key, "_h").join(words, "_h"), F.col("words"), "rank", "w", keep=[key])
         .select(key, (F.col("rank") + 1).alias("rank"), F.col("w.token").alias("token"))
     )
 
@@ -121,7 +116,7 @@ def sentences_of(text: Column, marks: str = labels.SENTENCE_MARKS) -> Column:
 
 
 def sentence_split(docs: DataFrame, key: str, text: str, marks: str = labels.SENTENCE_MARKS) -> DataFrame:
-    return docs.select(key, F.posexplode(sentences_of(F.col(text), marks)).alias("pos", "sentence"))
+    return explode_once(docs, sentences_of(F.col(text), marks), "pos", "sentence", keep=[key])
 
 
 def log_overlap(shared: Column, n: Column, m: Column) -> Column:
@@ -182,7 +177,7 @@ def sentence_rank(docs: DataFrame, key: str, text: str, marks: str = labels.SENT
     """(key, pos, sentence, score) of the sentences that have tokens; a map-only job."""
     rows = spread(docs.select(key, text)).select(key, _sentence_rows(F.col(text), marks).alias("_s"))
     scored = rows.withColumn("_r", sentence_scores(F.transform("_s", lambda x: x["bag"])))
-    return scored.select(key, F.posexplode(F.arrays_zip("_s", "_r")).alias("pos", "_x")).select(
+    return explode_once(scored, F.arrays_zip("_s", "_r"), "pos", "_x", keep=[key]).select(
         key, "pos", F.col("_x._s.s").alias("sentence"), F.col("_x._r").alias("score")
     )
 
@@ -202,7 +197,7 @@ def extract_summary(
     )
     scored = rows.withColumn("_r", sentence_scores(F.transform("_s", lambda x: x["bag"])))
     best = F.slice(
-        F.array_sort(
+        F.sort_array(
             F.transform(
                 F.arrays_zip("_s", "_r"),
                 lambda x, i: F.struct((-F.round(x["_r"], 7)).alias("o"), i.alias("i"), x["_s"]["s"].alias("s")),
@@ -271,9 +266,8 @@ def event_summary(
 ) -> DataFrame:
     """Summary of all members' contents (those longer than 5 characters) of each event."""
     cleaned = F.regexp_replace(text, labels.SUMMARY_NOISE, "")
-    rows = members.filter(F.length(text) > 5).select(
-        event, order, F.posexplode(sentences_of(cleaned, marks)).alias("pos", "sentence")
-    )
+    long = members.filter(F.length(text) > 5)
+    rows = explode_once(long, sentences_of(cleaned, marks), "pos", "sentence", keep=[event, order])
     rows = rows.withColumn("bag", multiset(tokens_of(F.col("sentence")))).filter("size(bag) > 0")
     scores = group_sentence_scores(rows.select(event, order, "pos", "bag"), event, [order, "pos"])
     ranked = scores.withColumn("o", -F.round("score", 7))
@@ -284,7 +278,7 @@ def event_summary(
         .groupBy(event).agg(best.alias("b")).select(event, f"b.{order}", "b.pos", F.lit(2).alias("k"))
     )
     chosen = first.unionByName(second).join(rows.drop("bag"), [event, order, "pos"])
-    texts = F.array_sort(F.collect_list(F.struct("k", "sentence")))
+    texts = F.sort_array(F.collect_list(F.struct("k", "sentence")))
     summary = F.array_join(F.transform(texts, lambda x: x["sentence"]), ";")
     return chosen.groupBy(event).agg(strings.truncate_summary(summary, longer_than, keep).alias("summary"))
 

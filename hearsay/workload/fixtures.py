@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearsay import labels
-from hearsay.functions import strings
+from hearsay.functions.arrays import explode_once
 from hearsay.sources.tables import Catalog
 
 AS_OF = datetime(2024, 1, 31)
@@ -181,7 +181,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-cased text segments of the documents, numbered."""
     docs = tables(spark, sf_dir).table("documents", ["doc_id", "text"])
     parts = F.split(F.lower("text"), r"[.\n]")
-    return docs.select("doc_id", F.posexplode(parts).alias("segment_id", "segment")).filter("segment <> ''")
+    return explode_once(docs, parts, "segment_id", "segment", keep=["doc_id"]).filter("segment <> ''")
 
 
 def word_list(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,18 +23,18 @@ def lexicon_tables(spark, sf_dir):
     negative = (
         entry.filter(k % 7 != 0)
         .groupBy(*levels, "cal_score", "cal_limit", "cal_num", "cal_num_limit", "result_influence_weight")
-        .agg(F.array_join(F.array_sort(F.collect_list("word")), ";").alias("cal_words"))
+        .agg(F.array_join(F.sort_array(F.collect_list("word")), ";").alias("cal_words"))
     )
     positive = (
         entry.filter(k % 11 != 0)
         .groupBy(*levels, "single_weight")
-        .agg(F.array_join(F.array_sort(F.collect_list("word")), ";").alias("key_words"))
+        .agg(F.array_join(F.sort_array(F.collect_list("word")), ";").alias("key_words"))
     )
     presentation = (
         entry.filter(k % 13 != 0)
         .withColumn("appraise", F.when(pair % 2 == 0, labels.NEGATIVE).otherwise(labels.POSITIVE))
         .groupBy("present", "use", "appraise")
-        .agg(F.array_join(F.array_sort(F.collect_list("word")), ";").alias("words"))
+        .agg(F.array_join(F.sort_array(F.collect_list("word")), ";").alias("words"))
     )
     return negative, positive, presentation
 
@@ -235,7 +235,7 @@ def export_join(spark, sf_dir):
 def listed_history(spark, sf_dir):
     """Stored events with their id lists: two overlapping groupings, so that a mention may be in both."""
     rows = fx.assigned(spark, sf_dir).filter(F.col("publish_ms") <= F.col("last_test"))
-    ids = F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids")
+    ids = F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids")
     fine = rows.filter(F.col("appraise") == labels.NEGATIVE).groupBy("real_id", "event_id").agg(ids)
     coarse = (
         rows.withColumn("event_id", -F.col("real_id") - 1).groupBy("real_id", "event_id").agg(ids)

@@ -152,7 +152,7 @@ def events_to_fill(spark, sf_dir):
     return (
         fx.article(spark, sf_dir)
         .groupBy("source_name", "lang")
-        .agg(F.max("id").alias("event_id"), F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids"))
+        .agg(F.max("id").alias("event_id"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids"))
         .withColumn(
             "event_summary",
             F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 1, F.lit(None)).otherwise("kept"),

@@ -100,7 +100,7 @@ FROM (SELECT DISTINCT real_id, strftime(publish_ts, '%Y-%m-%d') AS day FROM ment
     "mention",
 )
 def sort_dates(spark, sf_dir):
-    days = F.array_sort(F.collect_set(F.date_format("publish_ts", "yyyy-MM-dd")))
+    days = F.sort_array(F.collect_set(F.date_format("publish_ts", "yyyy-MM-dd")))
     return fx.mention(spark, sf_dir).groupBy("real_id").agg(F.array_join(days, ",").alias("days"))
 
 

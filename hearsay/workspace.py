@@ -51,3 +51,13 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition by key for a step whose work is large for its bytes.
+
+    The partition count is the session's, so that small shuffles of costly rows are not merged.
+    """
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(count, spark.sparkContext.defaultParallelism), *keys)
