@@ -296,21 +296,25 @@ def doc_vectors(
 ) -> DataFrame:
     """Unit mean of the word vectors of each text; character by character when no word is known.
 
-    ``word_vectors`` has (token, vector). Sums are one aggregate per pass with map-side combine.
+    ``word_vectors`` has (token, vector). Equal texts are read once; sums are one aggregate per pass
+    with map-side combine.
     """
 
-    def mean(rows: DataFrame) -> DataFrame:
-        sums = [F.sum(F.col("vector")[i].cast("double") * F.col("tf")).alias(f"_{i}") for i in range(dim)]
-        found = bag_of_words(rows, key).join(word_vectors, "token")
-        return found.groupBy(key).agg(*sums).select(key, F.array(*[f"_{i}" for i in range(dim)]).alias("vector"))
-
     from hearsay.functions.vectors import unit
 
-    words = mean(tokenize(docs, key, text))
-    characters = F.filter(F.split(F.lower(text), ""), lambda c: F.rlike(c, F.lit(r"\p{L}")))
-    left = docs.select(key, text).join(words.select(key), key, "left_anti")
-    spelled = mean(left.select(key, F.explode(characters).alias("token")))
-    return words.unionByName(spelled).select(key, unit(F.col("vector")).alias("vector"))
+    def mean(rows: DataFrame) -> DataFrame:
+        sums = [F.sum(F.col("vector")[i].cast("double") * F.col("tf")).alias(f"_{i}") for i in range(dim)]
+        found = bag_of_words(rows, "_h").join(word_vectors, "token")
+        return found.groupBy("_h").agg(*sums).select("_h", F.array(*[f"_{i}" for i in range(dim)]).alias("vector"))
+
+    hashed = docs.select(key, F.col(text).alias("_text"), F.sha2(F.col(text), 256).alias("_h"))
+    texts = Rounds(docs.sparkSession, "vectors").write(hashed.select("_h", "_text").dropDuplicates(["_h"]), "texts")
+    words = mean(tokenize(texts, "_h", "_text"))
+    characters = F.filter(F.split(F.lower("_text"), ""), lambda c: F.rlike(c, F.lit(r"\p{L}")))
+    left = texts.join(words.select("_h"), "_h", "left_anti")
+    spelled = mean(explode_once(left, characters, "token", keep=["_h"]))
+    vectors = words.unionByName(spelled).select("_h", unit(F.col("vector")).alias("vector"))
+    return hashed.select(key, "_h").join(vectors, "_h").select(key, "vector")
 
 
 def text_similarity(pairs: DataFrame, vectors: DataFrame, key: str) -> DataFrame:

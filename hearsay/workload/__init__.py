@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scoring", "functions", "projections", "joins", "events", "ranking", "tables", "text", "clusters"]
+MODULES = ["scoring", "functions", "projections", "joins", "events", "ranking", "tables", "text", "clusters", "jobs"]
 
 
 def load():
