@@ -28,7 +28,7 @@ def tokens_of(text: Column) -> Column:
 
 def tokenize(docs: DataFrame, key: str, text: str, stop_words: DataFrame | None = None) -> DataFrame:
     """(key, pos, token) rows without stop words."""
-    rows = explode_once(docs, tokens_of(F.col(text)), "pos", "token", keep=[key])
+    rows = explode_once(spread(docs.select(key, text)), tokens_of(F.col(text)), "pos", "token", keep=[key])
     return rows if stop_words is None else rows.join(stop_words, "token", "left_anti")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearsay import labels
 from hearsay.functions.arrays import explode_once
 from hearsay.sources.tables import Catalog
+from hearsay.workspace import spread
 
 AS_OF = datetime(2024, 1, 31)
 AS_OF_TEXT = "2024-01-31 00:00:00"
@@ -179,7 +180,7 @@ def article(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-cased text segments of the documents, numbered."""
-    docs = tables(spark, sf_dir).table("documents", ["doc_id", "text"])
+    docs = spread(tables(spark, sf_dir).table("documents", ["doc_id", "text"]))
     parts = F.split(F.lower("text"), r"[.\n]")
     return explode_once(docs, parts, "segment_id", "segment", keep=["doc_id"]).filter("segment <> ''")
 

@@ -46,9 +46,11 @@ class Rounds:
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores before a step that multiplies rows or work.
 
-    A scan of many files already has more partitions than cores and passes through unchanged; only a
-    small input, which one task would read, is redistributed.
+    A scan of many files already has more partitions than cores and passes through unchanged, as does
+    a plan that shuffles; only a small scan, which one task would read, is redistributed.
     """
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
