@@ -39,7 +39,7 @@ EMPTY_REPORT = (
 )
 REPORT_RESULT = "您本次的网信健康综合评测结果为："
 REPORT_NOW = "现阶段，"
-REPORT_WATCH = "【云测】将密切关注相关舆情动向，助您及时发现舆情异常状态。"
+REPORT_WATCH = "将密切关注相关舆情动向，助您及时发现舆情异常状态。"
 RATIO_SLOT = "result_ratio"
 NEW_EVENT_SLOT = "new_event_desc"
 RATIO_UP = "，健康度环比上升"

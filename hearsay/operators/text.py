@@ -252,6 +252,7 @@ def group_sentence_scores(bags: DataFrame, group: str, sid: list[str], rounds: i
     for i in range(rounds):
         state = apply(state.withColumn("s", share)).withColumn("r", (1 - DAMPING) + DAMPING * F.col("y"))
         state = work.write(state.select(*keys, "n", "out", "r"), f"rank{i}")
+        work.drop(f"rank{i - 1}" if i else "out")
     return state.select(*keys, F.col("r").alias("score"))
 
 

@@ -49,11 +49,12 @@ def analyze(
     windows: dict[int, int] | None = None,
     threshold: float = labels.EVENT_THRESHOLD,
     marks: str = labels.SUMMARY_MARKS,
+    service: str = "",
 ) -> Analysis:
     """Analyse the requested tasks (real_id, search_id) as of a time.
 
     Every request gets one report per section; one without mentions gets the default reports. Nothing
-    is written but intermediate tables: the caller stores the result.
+    is written but intermediate tables: the caller stores the result. ``service`` signs the report texts.
     """
     work = Rounds(requests.sparkSession, "analysis")
     windows = windows or labels.SECTIONS
@@ -82,7 +83,7 @@ def analyze(
     matches = projections.explode_matches(mentions)
     matches = work.write(projections.sections(matches, now, dict(windows)), "matches")
     previous = tasks.previous_report(stored.reports)
-    result = reports.health_report(requested, matches, overview, previous)
+    result = reports.health_report(requested, matches, overview, previous, service)
     return Analysis(found, result, notifications(requested))
 
 
