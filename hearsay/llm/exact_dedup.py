@@ -51,7 +51,7 @@ def directory(hashes: DataFrame, capacity: int) -> list[tuple[int, int, int]]:
     return [(i, first, end) for i, (first, end) in enumerate(sorted(done))]
 
 
-def exact_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 16384) -> DataFrame:
+def exact_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024) -> DataFrame:
     """The written index: (bucket, hash, text_sha256, keep_id, group_size), a row for each distinct text."""
     work = Rounds(docs.sparkSession, "exact")
     text = normalised(F.col(text_col))
@@ -79,7 +79,7 @@ def exact_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return work.write(owned.repartition(len(buckets), "bucket").sortWithinPartitions("bucket", "hash"), "index").drop("slot")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 16384) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024) -> DataFrame:
     """Every row of ``docs``: (id, keep_id, group_size, kept, text_sha256).
 
     Texts are equal when their bytes are, without ASCII white space; a null text is empty. The row with

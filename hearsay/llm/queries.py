@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from hearsay.llm import decontaminate as decontamination
 from hearsay.llm import exact_dedup as exact
+from hearsay.llm import jaccard_join as jaccard
 from hearsay.llm import language
+from hearsay.llm import mixing
 from hearsay.llm.registry import query
 
 
@@ -20,6 +22,36 @@ def remainder(column: str, by: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % by, F.lit(-1))
 
 
+@query(
+    "op4_jaccard_join",
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g, least(5, len(w)) AS k
+        FROM w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.k = b.k AND a.doc_id <> b.doc_id
+        GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+    FROM reach JOIN documents ON a = doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id
+    """,
+)
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op5_mix_sources")
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No source more than four times, the most even mixture under that limit."""
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repetition=4.0))
+
+
 @query(
     "op6_exact_dedup",
     r"""
