@@ -211,7 +211,7 @@ def decontaminate(
     are returned as often. An empty benchmark leaves every document clean.
     """
     rows = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).alias("text")
+        F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"), F.col(text_col).alias("text")
     )
     items = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),

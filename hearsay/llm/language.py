@@ -96,8 +96,9 @@ def predict(docs: DataFrame, model, keep: list[str | Column], text_col: str = "t
     names, prior, matrix = model
     bits = int(np.log2(matrix.shape[0])) if len(names) else 0
     shared = docs.sparkSession.sparkContext.broadcast((prior, matrix))
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
+    rows = docs.select(*keep, F.col(text_col).alias("_text")).toDF(*[f"c{i}" for i in range(len(keep))], "_text")
     kept = rows.columns[:-1]
+    wanted = docs.select(*keep).columns
 
     def score(batches):
         prior, matrix = shared.value
@@ -122,5 +123,5 @@ def predict(docs: DataFrame, model, keep: list[str | Column], text_col: str = "t
             scores = np.concatenate(best) if best else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(pred, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(score, f"{schema}, lang_pred string, score double")
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(score, f"{schema}lang_pred string, score double").toDF(*wanted, "lang_pred", "score")
