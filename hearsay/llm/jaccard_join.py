@@ -132,7 +132,8 @@ def _prefix_lengths(size: int, count: np.ndarray, percent: int) -> tuple[int, in
 
 def nodes_of(docs: DataFrame, words: int, percent: int, bin_shingles: int, work: Rounds) -> tuple[DataFrame, DataFrame]:
     """Two written tables: members (id, n_shingles, node), and the nodes that may have a partner:
-    (node, size, matches, prefix, shingles)."""
+    (node, size, shared, rest, prefix, shingles). ``shared`` counts the shingles that other nodes have too,
+    ``rest`` those of them behind the prefix."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bins = max(1, total // (4 * bin_shingles))  # at least four bytes for each new shingle of prose; hashes even it out
     limit = max(1, bin_shingles // 4)
@@ -225,10 +226,10 @@ def nodes_of(docs: DataFrame, words: int, percent: int, bin_shingles: int, work:
             matches, length = _prefix_lengths(int(size[a]), times[a:b], percent)
             if matches:
                 own = shingle[a:b].view(np.int64)
-                rows.append((int(node[a]), int(size[a]), matches, own[:length].tolist(), _bytes(np.sort(own))))
-        names = ["node", "size", "matches", "prefix", "shingles"]
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
-        columns = list(zip(*rows)) if rows else [[]] * 5
+                rows.append((int(node[a]), int(size[a]), b - a, b - a - length, own[:length].tolist(), _bytes(np.sort(own))))
+        names = ["node", "size", "shared", "rest", "prefix", "shingles"]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+        columns = list(zip(*rows)) if rows else [[]] * 6
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     routed = docs.mapInArrow(route, ROUTED)
@@ -236,7 +237,7 @@ def nodes_of(docs: DataFrame, words: int, percent: int, bin_shingles: int, work:
     if len(heavy):
         counted = counted.unionByName(routed.filter("kind = 1"))
     nodes = counted.repartition(bins, "part").groupBy("part").applyInArrow(
-        prefixes, "node long, size int, matches int, prefix array<long>, shingles binary"
+        prefixes, "node long, size int, shared int, rest int, prefix array<long>, shingles binary"
     )
     return member, work.write(nodes, "nodes")
 
@@ -262,40 +263,59 @@ def _verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select(F.col("x").alias("u"), F.col("y").alias("v"), "sx", "sy", "tx", "ty").mapInArrow(check, "u long, v long")
 
 
+def _overlap(percent: int):
+    """Common shingles that sets of sizes sx and sy need."""
+    return F.ceil(percent * (F.col("sx") + F.col("sy")) / (100 + percent))
+
+
 def _could(percent: int):
-    """Length bound on (sx, sy)."""
-    return (100 * F.least("sx", "sy") >= percent * F.greatest("sx", "sy"))
+    """Whether sizes and shared shingles allow x and y to reach the threshold."""
+    return (100 * F.least("sx", "sy") >= percent * F.greatest("sx", "sy")) & (F.least("hx", "hy") >= _overlap(percent))
+
+
+def _candidates(met: DataFrame, x, y, percent: int) -> DataFrame:
+    """Pairs that meet at enough prefix shingles; ``met`` has a row for each common one.
+
+    The common shingles behind the prefix that ends first are at most its ``rest``, so all others are in
+    both prefixes. That is at least the number both prefixes were lengthened for.
+    """
+    need = _overlap(percent) - F.greatest("rx", "ry")
+    pairs = met.groupBy(x.alias("x"), y.alias("y")).agg(F.count(F.lit(1)).alias("n"), F.max(need).alias("need"))
+    return pairs.filter("n >= need").select("x", "y")
+
+
+def _side(rows: DataFrame, side: str, *more) -> DataFrame:
+    names = {"node": side, "size": f"s{side}", "shared": f"h{side}", "rest": f"r{side}", "class": f"c{side}"}
+    return rows.select("shingle", *[F.col(a).alias(b) for a, b in names.items()], *more)
 
 
 def links(nodes: DataFrame, percent: int, work: Rounds) -> DataFrame:
     """(id, component) of every node that is linked with another, component being its smallest node."""
     spark = nodes.sparkSession
-    postings = work.write(nodes.select(F.explode("prefix").alias("shingle"), "node", "size", "matches"), "postings")
+    postings = work.write(nodes.select(F.explode("prefix").alias("shingle"), "node", "size", "shared", "rest"), "postings")
     edges = spark.createDataFrame([], "u long, v long")
     state = work.write(postings.withColumn("class", F.col("node")), "state0")
     apart, step, before = state.select("node").distinct().count(), 0, 0
     while apart:
         step += 1
-        order = F.struct(F.xxhash64(F.lit(step), "node").alias("o"), "node", "size", "matches", "class")
+        order = F.struct(F.xxhash64(F.lit(step), "node").alias("o"), "node", "size", "shared", "rest", "class")
         leaders = state.groupBy("shingle").agg(F.min(order).alias("l"), F.min("class").alias("a"), F.max("class").alias("b"))
-        leaders = leaders.filter("a <> b").select("shingle", F.col("l.node").alias("y"), F.col("l.size").alias("sy"), F.col("l.matches").alias("ky"), F.col("l.class").alias("cy"))
-        met = state.join(leaders, "shingle").filter("class <> cy").withColumnRenamed("size", "sx").filter(_could(percent))
-        pairs = met.groupBy(F.col("node").alias("x"), "y").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("matches", "ky")).alias("k"))
-        found = work.write(edges.unionByName(_verify(pairs.filter("n >= k").select("x", "y"), nodes, percent)), f"edges{step}")
+        leaders = _side(leaders.filter("a <> b").select("shingle", "l.*"), "y")
+        met = _side(state, "x").join(leaders, "shingle").filter("cx <> cy").filter(_could(percent))
+        pairs = _candidates(met, F.col("x"), F.col("y"), percent)
+        found = work.write(edges.unionByName(_verify(pairs, nodes, percent)), f"edges{step}")
         state, united = _classes(postings, found, work, step)
         gained, before, edges = united - before, united, found
         if gained <= SETTLED * apart:
             break
     sizes = state.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("shingle").agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes"))
-    main = main.filter("classes > 1").select("shingle", F.col("m.class").alias("main"))
-    split = state.join(main, "shingle")
-    minor = split.filter("class <> main").select("shingle", F.col("node").alias("x"), F.col("size").alias("sx"), F.col("matches").alias("kx"), F.col("class").alias("cx"))
-    every = split.select("shingle", F.col("node").alias("y"), F.col("size").alias("sy"), F.col("matches").alias("ky"), F.col("class").alias("cy"), (F.col("class") != F.col("main")).alias("my"))
+    split = state.join(main.filter("classes > 1").select("shingle", F.col("m.class").alias("main")), "shingle")
+    minor = _side(split.filter("class <> main"), "x")
+    every = _side(split, "y", (F.col("class") != F.col("main")).alias("my"))
     met = minor.join(every, "shingle").filter("cx <> cy and (not my or x < y)").filter(_could(percent))
-    pairs = met.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("n"), F.min(F.least("kx", "ky")).alias("k"))
-    rest = _verify(pairs.filter("n >= k").select("x", "y"), nodes, percent)
-    return connected_components(work.write(edges.unionByName(rest), "edges"))
+    pairs = _candidates(met, F.least("x", "y"), F.greatest("x", "y"), percent)
+    return connected_components(work.write(edges.unionByName(_verify(pairs, nodes, percent)), "edges"))
 
 
 def _classes(postings: DataFrame, edges: DataFrame, work: Rounds, step: int):
