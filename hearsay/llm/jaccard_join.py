@@ -9,28 +9,31 @@
    the ``k`` whose estimated cost is least: postings to read, plus candidates to verify, of which a pair
    needs ``k`` common shingles. A pair is a candidate with ``min(k)`` common prefix shingles.
 3. Candidates are verified by their whole sets. Only classes are asked for, so the pairs of a group are not
-   all listed: each prefix shingle first pairs its nodes with one leader, in rounds with other leaders while
-   that unites many. Afterwards the shingles whose nodes are still in several classes list the pairs of
-   different classes, each node outside the largest class with the others. So no link is lost, and a group
-   of thousands of near copies costs about one pair per copy.
+   all listed: each prefix shingle first pairs its nodes with a few leaders, in rounds with other leaders while
+   that unites many. Afterwards the nodes of shingles that still have several classes are compared across
+   classes, in tasks of two bounded blocks that return a spanning forest. So no link is lost, and most of
+   a group of thousands of near copies costs a few pairs per copy.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from hearsay.llm import packed
 from hearsay.operators.components import connected_components
-from hearsay.workspace import Rounds
+from hearsay.workspace import Rounds, by_key
 
 BIN_SHINGLES = 1 << 21
 MAX_MATCHES = 8
 VERIFY_COST = 16.0
-SETTLED = 0.05
+LEADERS = 4
+SETTLED = 0.02
+BLOCK_NODES = 512
+COLUMNS = 4096
 ROUTED = "kind int, part int, nodes binary, sizes binary, lengths binary, shingles binary, counts binary"
 
 
@@ -273,15 +276,84 @@ def _could(percent: int):
     return (100 * F.least("sx", "sy") >= percent * F.greatest("sx", "sy")) & (F.least("hx", "hy") >= _overlap(percent))
 
 
-def _candidates(met: DataFrame, x, y, percent: int) -> DataFrame:
-    """Pairs that meet at enough prefix shingles; ``met`` has a row for each common one.
+def _candidates(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs that meet at enough prefix shingles, and each node's best leader; ``met`` has a row for each common one.
 
     The common shingles behind the prefix that ends first are at most its ``rest``, so all others are in
     both prefixes. That is at least the number both prefixes were lengthened for.
     """
     need = _overlap(percent) - F.greatest("rx", "ry")
-    pairs = met.groupBy(x.alias("x"), y.alias("y")).agg(F.count(F.lit(1)).alias("n"), F.max(need).alias("need"))
-    return pairs.filter("n >= need").select("x", "y")
+    pairs = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.max(need).alias("need"))
+    ranked = pairs.withColumn("at", F.row_number().over(Window.partitionBy("x").orderBy(F.desc("n"), "y")))
+    return ranked.filter("n >= need or at = 1").select("x", "y")
+
+
+def _remaining(state: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between classes that share a prefix shingle: enough to unite the classes that are linked.
+
+    A shingle's nodes go to the group of the class that has most of them. In a group every node of another
+    class is compared with all nodes, by blocks: a task holds two blocks and returns a spanning forest.
+    """
+    early = state.filter(F.col("at") <= F.col("shared") - F.ceil(percent * F.col("size") / 100))
+    sizes = early.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("shingle").agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes"))
+    split = early.join(main.filter("classes > 1").select("shingle", F.col("m.class").alias("main")), "shingle")
+    group = split.groupBy("main", "node").agg(F.max("class").alias("class"))
+    count = group.groupBy("main").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_NODES).cast("int").alias("all"),
+        F.ceil(F.count(F.when(F.col("class") != F.col("main"), 1)) / BLOCK_NODES).cast("int").alias("minor"),
+    )
+    placed = group.join(count, "main")
+    own = F.xxhash64("node")
+    first = placed.filter("class <> main").select(
+        "main", F.pmod(own, "minor").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), "node", "class", F.lit(0).alias("side")
+    )
+    second = placed.select(
+        "main", F.explode(F.sequence(F.lit(0), F.col("minor") - 1)).alias("i"), F.pmod(own, "all").alias("j"), "node", "class", F.lit(1).alias("side")
+    )
+    tasks = first.select("main", F.col("i").cast("int"), "j", "node", "class", "side").unionByName(
+        second.select("main", "i", F.col("j").cast("int"), "node", "class", "side")
+    )
+    rows = tasks.join(nodes.select("node", "size", "shingles"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        side = table["side"].to_numpy() == 1
+        node, label = table["node"].to_numpy(), table["class"].to_numpy()
+        size = table["size"].to_numpy().astype(np.int64)
+        parts = [np.frombuffer(b, np.int64) for b in table["shingles"].to_pylist()]
+        row = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+        shingle, code, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = times[code] > 1
+        _, code = np.unique(code[shared], return_inverse=True)
+        row = row[shared]
+        order = np.argsort(code, kind="stable")
+        row, code = row[order], code[order]
+        x, y = np.flatnonzero(~side), np.flatnonzero(side)
+        common = np.zeros((len(x), len(y)), dtype=np.float32)
+        for low in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
+            a, b = np.searchsorted(code, [low, low + COLUMNS])
+            part = np.zeros((len(parts), COLUMNS), dtype=np.float32)
+            part[row[a:b], code[a:b] - low] = 1
+            common += part[x] @ part[y].T
+        common = common.astype(np.int64)
+        close = 100 * common >= percent * (size[x][:, None] + size[y][None, :] - common)
+        i, j = np.nonzero(close & (label[x][:, None] != label[y][None, :]))
+        root: dict[int, int] = {}
+
+        def find(c):
+            while root.get(c, c) != c:
+                root[c] = c = root.get(root[c], root[c])
+            return c
+
+        edges = []
+        for u, v in zip(x[i], y[j]):
+            a, b = find(label[u]), find(label[v])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                edges.append((node[u], node[v]))
+        return pa.table({"u": pa.array([e[0] for e in edges], pa.int64()), "v": pa.array([e[1] for e in edges], pa.int64())})
+
+    return by_key(rows, "main", "i", "j").groupBy("main", "i", "j").applyInArrow(compare, "u long, v long")
 
 
 def _side(rows: DataFrame, side: str, *more) -> DataFrame:
@@ -292,30 +364,26 @@ def _side(rows: DataFrame, side: str, *more) -> DataFrame:
 def links(nodes: DataFrame, percent: int, work: Rounds) -> DataFrame:
     """(id, component) of every node that is linked with another, component being its smallest node."""
     spark = nodes.sparkSession
-    postings = work.write(nodes.select(F.explode("prefix").alias("shingle"), "node", "size", "shared", "rest"), "postings")
+    postings = work.write(nodes.select(F.posexplode("prefix").alias("at", "shingle"), "node", "size", "shared", "rest"), "postings")
     edges = spark.createDataFrame([], "u long, v long")
     state = work.write(postings.withColumn("class", F.col("node")), "state0")
     apart, step, before = state.select("node").distinct().count(), 0, 0
     while apart:
         step += 1
-        order = F.struct(F.xxhash64(F.lit(step), "node").alias("o"), "node", "size", "shared", "rest", "class")
-        leaders = state.groupBy("shingle").agg(F.min(order).alias("l"), F.min("class").alias("a"), F.max("class").alias("b"))
-        leaders = _side(leaders.filter("a <> b").select("shingle", "l.*"), "y")
+        orders = [F.xxhash64(F.lit(step * LEADERS + i), "node") for i in range(LEADERS)]
+        chosen = [F.min(F.struct(o.alias("o"), "node", "size", "shared", "rest", "class")).alias(f"l{i}") for i, o in enumerate(orders)]
+        leaders = state.groupBy("shingle").agg(*chosen, F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b")
+        distinct = F.array_distinct(F.array(*[F.col(f"l{i}").dropFields("o") for i in range(LEADERS)]))
+        leaders = _side(leaders.select("shingle", F.inline(distinct)), "y")
         met = _side(state, "x").join(leaders, "shingle").filter("cx <> cy").filter(_could(percent))
-        pairs = _candidates(met, F.col("x"), F.col("y"), percent)
+        pairs = _candidates(met, percent)
         found = work.write(edges.unionByName(_verify(pairs, nodes, percent)), f"edges{step}")
         state, united = _classes(postings, found, work, step)
         gained, before, edges = united - before, united, found
         if gained <= SETTLED * apart:
             break
-    sizes = state.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("shingle").agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes"))
-    split = state.join(main.filter("classes > 1").select("shingle", F.col("m.class").alias("main")), "shingle")
-    minor = _side(split.filter("class <> main"), "x")
-    every = _side(split, "y", (F.col("class") != F.col("main")).alias("my"))
-    met = minor.join(every, "shingle").filter("cx <> cy and (not my or x < y)").filter(_could(percent))
-    pairs = _candidates(met, F.least("x", "y"), F.greatest("x", "y"), percent)
-    return connected_components(work.write(edges.unionByName(_verify(pairs, nodes, percent)), "edges"))
+    rest = work.write(_remaining(state, nodes, percent), "rest")
+    return connected_components(work.write(edges.unionByName(rest), "edges"))
 
 
 def _classes(postings: DataFrame, edges: DataFrame, work: Rounds, step: int):
