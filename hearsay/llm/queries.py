@@ -10,6 +10,8 @@ from hearsay.llm import exact_dedup as exact
 from hearsay.llm import jaccard_join as jaccard
 from hearsay.llm import language
 from hearsay.llm import mixing
+from hearsay.llm import repeated_words as repeats
+from hearsay.llm import secrets
 from hearsay.llm.registry import query
 
 
@@ -22,6 +24,46 @@ def remainder(column: str, by: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % by, F.lit(-1))
 
 
+@query(
+    "op1_repeated_words",
+    r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM w, unnest(range(1, len(w) - 11)) AS t(i)),
+    first AS (SELECT g, min(doc_id) AS first FROM win GROUP BY g),
+    hit AS (
+        SELECT DISTINCT doc_id, i + j AS p FROM win JOIN first USING (g), unnest(range(0, 13)) AS t(j) WHERE doc_id > first),
+    kept AS (
+        SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS kept, count(*) AS n
+        FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM w) ANTI JOIN hit USING (doc_id, p)
+        GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op1_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_words(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
+    return found.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    base = F.filter("findings", lambda x: x["order"] < len(secrets.BASE_KINDS))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"),
+    )
+
+
 @query(
     "op4_jaccard_join",
     r"""
