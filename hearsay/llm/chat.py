@@ -169,14 +169,11 @@ def repair_chats(
         code.cast("int").alias("code"),
         F.col(text_col).alias("text"),
     )
-    order = F.struct(F.col("turn"), F.col("code"), F.col("text"))
-
     def numbered(pdf: pd.DataFrame) -> pd.DataFrame:
         key = pdf["text"].fillna("")
         pdf = pdf.assign(_t=key).sort_values(["turn", "code", "_t"], na_position="first", kind="stable").drop(columns="_t")
         return pdf.assign(part=np.arange(len(pdf), dtype=np.int64))
 
-    del order
     schema = "conv long, turn long, block long, code int, text string, part long"
     placed = work.write(by_key(given, "conv", "block").groupBy("conv", "block").applyInPandas(numbered, schema), "turns")
     codes = placed.select("conv", "block", "code", "part")
@@ -188,11 +185,10 @@ def repair_chats(
         _repair,
         "conv long, turn long, block long, part long, piece int, role string, text string, action string, opens boolean, cost double",
     )
-    opening = F.concat(F.when((F.col("part") == 0) & F.col("block_first"), "").otherwise("<|end|>\n"), F.lit("<|"), F.col("role"), F.lit("|>\n"))
-    least = pieces.select("conv", "turn", "part", "piece").groupBy("conv").agg(F.min(F.struct("turn", "part", "piece")).alias("l"))
-    marked = pieces.join(least.withColumnRenamed("conv", "_conv"), F.col("conv").eqNullSafe(F.col("_conv"))).withColumn(
-        "block_first", F.struct("turn", "part", "piece").eqNullSafe(F.col("l"))
-    )
+    least = pieces.groupBy("conv").agg(F.min(F.struct("turn", "part", "piece")).alias("least"))
+    marked = pieces.join(least.withColumnRenamed("conv", "_conv"), F.col("conv").eqNullSafe(F.col("_conv")))
+    very_first = F.struct("turn", "part", "piece").eqNullSafe(F.col("least"))
+    opening = F.concat(F.when(very_first, "").otherwise("<|end|>\n"), F.lit("<|"), F.col("role"), F.lit("|>\n"))
     rendered = F.concat(F.when(F.col("opens"), opening).otherwise(F.lit("\n")), F.col("text"))
     return marked.select(
         F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "part", "piece", "role", "action", "opens",

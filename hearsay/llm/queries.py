@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearsay.llm import chat
 from hearsay.llm import decontaminate as decontamination
 from hearsay.llm import exact_dedup as exact
 from hearsay.llm import jaccard_join as jaccard
@@ -12,6 +13,7 @@ from hearsay.llm import language
 from hearsay.llm import mixing
 from hearsay.llm import repeated_words as repeats
 from hearsay.llm import secrets
+from hearsay.llm import toxicity as toxic
 from hearsay.llm.registry import query
 
 
@@ -147,3 +149,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("_part", remainder("doc_id", 4))
     model = language.fit(docs.filter(~F.col("_part").isin(2, -1)))
     return language.predict(docs, model, ["doc_id", (F.col("_part") == 2).alias("held_out")])
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", remainder("doc_id", 3) == 1)
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 3).isin(0, 2)).select("doc_id", F.col("toxic").alias("label"))
+    train = docs.filter(~F.col("held_out")).join(labels, "doc_id").select("text", "label")
+    return toxic.toxicity(docs, train).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op9_repair_chats")
+def op9_repair_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair_chats(table(spark, sf_dir, "conversations"))
