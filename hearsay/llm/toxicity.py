@@ -25,16 +25,16 @@ from pyspark.sql import functions as F
 from hearsay.workspace import Rounds
 
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 6)
+PREFIXES = (4, 5, 6)
 VOTER, FEATURE = 0.6, 0.3
 MIN_TEXTS = 4
 ROUNDS = 20
 
 
 def features_of(text: str | None) -> set[str]:
-    """The distinct words of a text, and the beginnings of its longer words as ``begin*``."""
+    """The distinct words of a text, and the beginnings of words that are at least two letters longer, as ``begin*``."""
     words = set(WORD.findall((text or "").lower()))
-    return words | {w[:n] + "*" for w in words for n in PREFIXES if len(w) > n}
+    return words | {w[:n] + "*" for w in words for n in PREFIXES if len(w) > n + 1}
 
 
 def precision_bound(hits, total):
@@ -69,7 +69,7 @@ def select_features(train: DataFrame, max_features: int) -> list[tuple[str, int,
 
 
 class LabelModel:
-    """Rates of voters on toxic and clean texts, and weights that discount correlated voters."""
+    """Rates of voters on toxic and clean texts, and the correlations by which votes are discounted."""
 
     def __init__(self, voters, toxic: int, clean: int):
         self.prior_hits = np.array([[v[1] for v in voters], [v[2] - v[1] for v in voters]], dtype=float)
@@ -78,17 +78,18 @@ class LabelModel:
         self.share = (toxic + 0.5) / (toxic + clean + 1)
         none = np.exp(np.log1p(-np.minimum(self.rates, 0.99)).sum(axis=1))
         self.none = np.clip(none, 1e-3, 1 - 1e-3)
-        self.weights = np.ones(len(voters))
+        self.excess = np.zeros((len(voters), len(voters)))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """Probability of toxic for rows of 0/1 votes."""
-        odds = np.log(self.share / (1 - self.share)) + votes @ (self.weights * np.log(self.rates[0] / self.rates[1]))
+        weights = votes / (1 + votes @ self.excess)  # one over the votes that a vote moves with, itself included
+        odds = np.log(self.share / (1 - self.share)) + weights @ np.log(self.rates[0] / self.rates[1])
         silent = votes.sum(axis=1) == 0
         odds = np.where(silent, odds + np.log(self.none[0] / self.none[1]), odds)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     def correlate(self, votes: np.ndarray, count: np.ndarray) -> None:
-        """Weigh each voter by one over the number of voters it moves with, itself included."""
+        """How much more often than their rates explain each pair of voters fires together."""
         together = (votes * count[:, None]).T @ votes / count.sum()
         q = self.posterior(votes)
         share = (q * count).sum() / count.sum()
@@ -96,8 +97,7 @@ class LabelModel:
         single = np.sqrt(np.outer(np.diag(together), np.diag(together))) + 1e-12
         excess = np.clip((together - expected) / single, 0, 1)
         np.fill_diagonal(excess, 0)
-        excess[excess < 0.1] = 0
-        self.weights = 1 / (1 + excess.sum(axis=1))
+        self.excess = np.where(excess < 0.1, 0, excess)
 
     def fit(self, votes: np.ndarray, count: np.ndarray) -> None:
         silent = votes.sum(axis=1) == 0
