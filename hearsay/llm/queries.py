@@ -11,6 +11,7 @@ from hearsay.llm import exact_dedup as exact
 from hearsay.llm import jaccard_join as jaccard
 from hearsay.llm import language
 from hearsay.llm import mixing
+from hearsay.llm import repeated_bytes
 from hearsay.llm import repeated_words as repeats
 from hearsay.llm import secrets
 from hearsay.llm import toxicity as toxic
@@ -66,6 +67,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_repeated_bytes")
+def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_bytes.repeated_bytes(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
+    return found.select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query(
     "op4_jaccard_join",
     r"""

@@ -164,7 +164,7 @@ def _nodes(leaves: DataFrame, bins: int, shards: int) -> DataFrame:
         later = np.zeros(len(window), dtype=bool)
         later[order] = ordered > np.repeat(least, np.diff(np.append(heads, len(window))))
         touched = np.unique(run[later])
-        shard = row_keys[touched].view(np.uint64) % np.uint64(shards)
+        shard = row_keys[touched] % shards
         first = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         number = int(table["bin"][0].as_py())
         cells = {"shard": [], "bin": [], "row_keys": [], "lengths": [], "bits": []}
@@ -186,7 +186,7 @@ def squeezed(rows: DataFrame, shards: int) -> DataFrame:
     def squeeze(batches):
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            shard = (batch.column("row_key").to_numpy().view(np.uint64) % np.uint64(shards)).astype(np.int32)
+            shard = (batch.column("row_key").to_numpy() % shards).astype(np.int32)
             texts = [packer.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard), batch.column("id"), batch.column("row_key"), pa.array(texts, pa.binary())], names=["shard", "id", "row_key", "packed"]
@@ -222,7 +222,7 @@ def _kept(data, offsets, starts, ends, bounds, removed) -> pa.Array:
 def _finish(texts: DataFrame, nodes: DataFrame, router: Router) -> DataFrame:
     schema = "id long, n_words long, removed array<struct<first:int,end:int>>, kept string"
 
-    def finish(_, left: pa.Table, right: pa.Table) -> pa.Table:
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         marked: dict[int, list] = {}
         for number, row_keys, lengths, bits in zip(*(right[c].to_pylist() for c in ("bin", "row_keys", "lengths", "bits"))):
             lengths = np.frombuffer(lengths, dtype=np.int32)
