@@ -4,9 +4,8 @@ Suffixes are sampled by content: of every ``length`` bytes the position with the
 ``GRAM`` bytes is an anchor, so equal strings of ``length`` bytes have the same anchor at the same place.
 The anchors' suffixes are ranked by prefix doubling. The first rank is that of the ``GRAM`` bytes, the next
 that of the block up to the next anchor, then in each round Spark brings together the pairs (rank of
-anchor i, rank of anchor i + n) for n = 1, 2, 4; equal pairs get one new rank, named after its first
-position, and suffixes with a rank of their own drop out. Doubling ends past the threshold: a run of
-``RUN`` blocks is longer than any string that has to be judged there.
+anchor i, rank of anchor i + n) for growing n; equal pairs get one new rank, and suffixes with a rank of
+their own drop out. Doubling ends past the threshold, with runs longer than the strings to be judged.
 
 A string whose anchor's bytes are unique is unique. A string inside a repeated run is repeated; only the
 run's first position goes on as its witness. What is left, the strings at the edges of repeats and in short
@@ -22,13 +21,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearsay.llm import packed
-from hearsay.llm.repeated_words import SHARD_BYTES, joined, squeezed, unsqueezed
+from hearsay.llm.repeated_words import SHARD_BYTES, joined, row_groups, squeezed, unsqueezed
 from hearsay.workspace import Rounds
 
 GRAM = 64
-RUN = 8
-BIN_STRINGS = 3 << 20
-ROWS = 64
+RUNS = (4, 6)
+BIN_STRINGS = 2 << 20
 
 
 def _sliding(values: np.ndarray, width: int, take) -> np.ndarray:
@@ -70,8 +68,13 @@ class Sample:
         heads = np.flatnonzero(new)
         self.first, self.last = valid[heads], valid[np.append(heads[1:], len(valid)) - 1]
         self.of = of[heads]
-        self.row = np.searchsorted(offsets, self.anchors, "right") - 1
-        self.gram_keys = keys[self.anchors]
+        # the ends of the texts count as anchors, so that whole copies are runs from end to end
+        long = np.diff(offsets) >= length
+        places = np.unique(np.concatenate([self.anchors, offsets[:-1][long], offsets[1:][long] - gram]))
+        self.of = np.searchsorted(places, self.anchors)[self.of]
+        self.anchors = places
+        self.row = np.searchsorted(offsets, places, "right") - 1
+        self.gram_keys = keys[places]
         self.gram = gram
 
 
@@ -110,40 +113,38 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
 
 def repeated_runs(anchors: DataFrame, work: Rounds) -> DataFrame:
-    """(row_key, blocks, i, own) of runs of 0 (only the gram), 1, 2, 4 ... RUN blocks that occur again."""
+    """(row_key, blocks, i, own) of what occurs again: the gram of an anchor (blocks 0), and runs of RUNS blocks."""
     grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    alive = work.write(anchors.join(grams, "gram", "left_semi"), "alive")
-    found = alive.select("row_key", F.lit(0).alias("blocks"), "i", F.lit(False).alias("own"))
+    alive = work.write(anchors.join(grams, "gram", "left_semi").drop("gram"), "alive")
+    work.drop("anchors")
     level = work.write(_ranked(alive.filter("block is not null").select("row_key", "i", F.col("block").alias("rank"))), "run1")
-    blocks = 1
-    while True:
-        found = found.unionByName(level.select("row_key", F.lit(blocks).alias("blocks"), "i", "own"))
-        if blocks >= RUN:
-            return found
-        ahead = Window.partitionBy("row_key").orderBy("i").rangeBetween(blocks, blocks)
-        pairs = level.withColumn("next", F.first("rank").over(ahead)).filter("next is not null")
-        blocks *= 2
-        level = work.write(_ranked(pairs.select("row_key", "i", F.xxhash64("rank", "next").alias("rank"))), f"run{blocks}")
+    ranks = {1: level}
+    for blocks, part, ahead in ((2, 1, 1), (4, 2, 2), (6, 4, 2)):  # a run of 6 is two runs of 4 that overlap
+        at = Window.partitionBy("row_key").orderBy("i").rangeBetween(ahead, ahead)
+        pairs = ranks[part].withColumn("next", F.first("rank").over(at)).filter("next is not null")
+        ranks[blocks] = work.write(_ranked(pairs.select("row_key", "i", F.xxhash64("rank", "next").alias("rank"))), f"run{blocks}")
+    found = alive.select("row_key", F.lit(0).alias("blocks"), "i", F.lit(False).alias("own"))
+    for blocks in RUNS:
+        found = found.unionByName(ranks[blocks].select("row_key", F.lit(blocks).alias("blocks"), "i", "own"))
+    return found
 
 
 def _judge(s: Sample, offsets: np.ndarray, length: int, runs: dict):
     """Cells of a slice as (covered, compared) lists of indexes; ``runs[row]`` has the repeated runs of a text."""
     covered, compared = [], []
     begin = np.searchsorted(s.row, np.arange(len(offsets)))
-    for cell, (first, last, anchor) in enumerate(zip(s.first, s.last, s.of)):
-        row = s.row[anchor]
-        mine = runs.get(row)
-        if mine is None or (0, anchor - begin[row]) not in mine:
+    row = s.row[s.of]
+    a = np.searchsorted(s.anchors, s.first, "right") - 1 - begin[row]
+    b = np.searchsorted(s.anchors, s.last + length - s.gram, "left") - begin[row]
+    count = np.diff(begin)[row]
+    for cell, (r, low, high, own, total) in enumerate(zip(row.tolist(), a.tolist(), b.tolist(), (s.of - begin[row]).tolist(), count.tolist())):
+        mine = runs[r]
+        if (0, own) not in mine:
             continue
-        own = s.anchors[begin[row] : begin[row + 1]]
-        a = int(np.searchsorted(own, first, "right")) - 1
-        b = int(np.searchsorted(own, last + length - s.gram, "left"))
         state = None
-        if a >= 0 and b < len(own):
-            blocks = 1
-            while blocks < b - a:
-                blocks *= 2
-            for start in range(max(0, b - blocks), a + 1):
+        blocks = next((n for n in RUNS if n >= high - low), None)
+        if low >= 0 and high < total and blocks:
+            for start in range(max(0, high - blocks), low + 1):
                 state = mine.get((blocks, start))
                 if state is not None:
                     break
@@ -180,8 +181,7 @@ def _compare(texts: DataFrame, runs: DataFrame, length: int, bins: int) -> DataF
         row_keys = left["row_key"].to_numpy()
         touched = np.flatnonzero(np.isin(row_keys, np.array(list(known), dtype=np.int64)))
         left, row_keys = left.take(pa.array(touched)), row_keys[touched]
-        for low in range(0, len(row_keys), ROWS):
-            high = min(low + ROWS, len(row_keys))
+        for low, high in row_groups(left):
             data, offsets = unsqueezed(left, low, high)
             s = Sample(data, offsets, length)
             mine = {i: {(r["blocks"], r["i"]): r["own"] for r in known[row_keys[low + i]]} for i in range(high - low)}
@@ -263,8 +263,7 @@ def _finish(texts: DataFrame, answers: DataFrame, length: int, bins: int) -> Dat
                 at += n
         ids, kept_ids = left["id"], left["row_key"].to_pylist()
         sizes, spans, kept = [], [], []
-        for low in range(0, len(kept_ids), ROWS):
-            high = min(low + ROWS, len(kept_ids))
+        for low, high in row_groups(left):
             data, offsets = unsqueezed(left, low, high)
             for i in range(high - low):
                 text = data[offsets[i] : offsets[i + 1]]

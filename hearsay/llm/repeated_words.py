@@ -195,6 +195,17 @@ def squeezed(rows: DataFrame, shards: int) -> DataFrame:
     return rows.mapInArrow(squeeze, "shard int, id long, row_key long, packed binary")
 
 
+def row_groups(table: pa.Table, limit: int = packed.SLICE_BYTES // 3):
+    """(low, high) of consecutive rows of at most ``limit`` compressed bytes, or of one row."""
+    sizes = np.cumsum([len(t) for t in table["packed"].to_pylist()])
+    low = 0
+    while low < len(sizes):
+        before = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + limit, "right")))
+        yield low, high
+        low = high
+
+
 def unsqueezed(table: pa.Table, low: int, high: int):
     """(data, offsets) of rows of a squeezed table."""
     opener = zstandard.ZstdDecompressor()
@@ -233,8 +244,7 @@ def _finish(texts: DataFrame, nodes: DataFrame, router: Router) -> DataFrame:
                 at += n
         row_keys, ids = left["row_key"].to_pylist(), left["id"].to_numpy()
         parts = []
-        for low in range(0, len(row_keys), 64):
-            high = min(low + 64, len(row_keys))
+        for low, high in row_groups(left):
             data, offsets = unsqueezed(left, low, high)
             starts, ends, bounds, keys, begins = router.parse(data, offsets)
             part, window = router.route(keys, begins)
