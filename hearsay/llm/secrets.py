@@ -69,9 +69,10 @@ def placed(text: Column, pattern: str, group: int) -> Column:
 def high_entropy(candidate: Column, alphabet: str, least: float, window: int) -> Column:
     """(from, to) over all windows of a candidate at or over ``least`` bits; null if there is none."""
     size = len(alphabet)
-    codes = F.transform(
-        F.sequence(F.lit(1), F.length(candidate)), lambda i: F.instr(F.lit(alphabet), F.substring(candidate, i, F.lit(1)))
-    )
+    letters = F.filter(F.split(candidate, ""), lambda c: c != "")
+    codes = F.transform(letters, lambda c: F.instr(F.lit(alphabet), c))
+    leaving = F.slice(F.concat(F.array_repeat(F.lit(0), window), codes), F.lit(1), F.length(candidate))
+    steps = F.arrays_zip(codes.alias("c"), leaving.alias("l"))
     state = F.struct(
         F.array_repeat(F.lit(0), size).alias("counts"),
         F.lit(0.0).cast("double").alias("sum"),
@@ -101,8 +102,6 @@ def high_entropy(candidate: Column, alphabet: str, least: float, window: int) ->
             (acc["at"] + 1).alias("at"),
         )
 
-    leaving = F.concat(F.array_repeat(F.lit(0), window), codes)
-    steps = F.transform(codes, lambda c, i: F.struct(c.alias("c"), F.element_at(leaving, i + 1).alias("l")))
     return F.aggregate(steps, state, step, lambda acc: F.when(acc["first"].isNotNull(), F.struct(acc["first"].alias("from"), acc["last"].alias("to"))))
 
 
