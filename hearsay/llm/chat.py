@@ -9,17 +9,19 @@ least total cost.
 A turn is a 4 x 4 matrix of costs between states, and conversations are min-plus products of them. Products
 can be grouped freely, so a conversation is cut into blocks of ``block_turns`` turn numbers: each block gives
 one matrix, the blocks of a conversation are joined from matrices, and each block then finds its own choices
-between known states. No task holds more than one block's turns, however long a conversation is.
+between known states. All of this reads role numbers only; texts are shuffled once, to the choices of their
+block, and rendered there. No row holds more than one block's turns, however long a conversation is.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hearsay.workspace import Rounds, by_key
+from hearsay.workspace import Rounds
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = {"system": SYSTEM, "user": USER, "assistant": ASSISTANT}
@@ -88,54 +90,77 @@ def choose(roles: list[int], first: int, last: int) -> list[int]:
     return picked[::-1]
 
 
-def _matrix(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = None
-    for role in pdf.sort_values(["part"], kind="stable")["code"]:
-        total = COSTS[role][0] if total is None else product(total, COSTS[role][0])
-    return pd.DataFrame({"conv": [pdf["conv"].iloc[0]], "block": [pdf["block"].iloc[0]], "cost": [total.ravel().tolist()]})
-
-
-def _states(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The state before and after each block of a conversation on its cheapest way."""
-    pdf = pdf.sort_values("block", na_position="first", kind="stable")
-    costs = [np.array([0.0, INF, INF, INF])]
-    matrices = [np.array(c).reshape(4, 4) for c in pdf["cost"]]
-    for m in matrices:
-        costs.append((costs[-1][:, None] + m).min(axis=0))
-    state, total = int(np.argmin(costs[-1] + END)), float((costs[-1] + END).min())
-    states = [state]
-    for at in range(len(matrices) - 1, -1, -1):
-        state = int(np.argmin(costs[at] + matrices[at][:, state]))
-        states.append(state)
-    states = states[::-1]
-    return pd.DataFrame(
-        {
-            "conv": pdf["conv"], "block": pdf["block"], "first": states[:-1], "last": states[1:], "total": total,
-            "final": [False] * (len(matrices) - 1) + [True],
-        }
+CONVERSATION = ["conv0", "no_conv"]
+BLOCK = [*CONVERSATION, "block0", "no_block"]
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _matrix(codes: pd.Series) -> pd.Series:
+    """The matrix of each block, row by row."""
+    found = []
+    for roles in codes:
+        total = COSTS[roles[0]][0]
+        for role in roles[1:]:
+            total = product(total, COSTS[role][0])
+        found.append(total.ravel())
+    return pd.Series(found, dtype=object)
+
+
+@F.pandas_udf(T.StructType().add("states", T.ArrayType(T.IntegerType())).add("total", T.DoubleType()))
+def _states(matrices: pd.Series) -> pd.DataFrame:
+    """The states before, between and after the blocks of each conversation on its cheapest way."""
+    found = []
+    for flat in matrices:
+        steps = np.asarray(flat).reshape(-1, 4, 4)
+        costs = [np.array([0.0, INF, INF, INF])]
+        for m in steps:
+            costs.append((costs[-1][:, None] + m).min(axis=0))
+        state, total = int(np.argmin(costs[-1] + END)), float((costs[-1] + END).min())
+        states = [state]
+        for at in range(len(steps) - 1, -1, -1):
+            state = int(np.argmin(costs[at] + steps[at][:, state]))
+            states.append(state)
+        found.append((states[::-1], total))
+    return pd.DataFrame(found, columns=["states", "total"])
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _picked(codes: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
+    return pd.Series([choose(list(c), b, a) for c, b, a in zip(codes, before, after)], dtype=object)
+
+
+def _of_option(values: list[Column]) -> Column:
+    """The value of the option that was picked for a turn."""
+    return F.get(F.array(*values), F.col("option"))
+
+
+def _piece(number, role: Column, text: Column, action: Column, opens: Column) -> Column:
+    return F.struct(
+        F.lit(number).cast("int").alias("piece"), role.alias("role"), text.alias("text"), action.alias("action"),
+        opens.alias("opens"),
     )
 
 
-def _repair(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["part"], kind="stable")
-    rows = []
+def _inserted(first: int, roles: tuple[int, ...]) -> Column:
+    pieces = [_piece(first + i, F.lit(NAMES[r]), F.lit(""), F.lit("insert"), F.lit(True)) for i, r in enumerate(roles)]
+    return F.array(*pieces).cast("array<struct<piece:int,role:string,text:string,action:string,opens:boolean>>")
 
-    def add(r, piece, role, text, action, opens):
-        rows.append((r.conv, r.turn, r.block, r.part, piece, NAMES[role], text, action, opens, r.total))
 
-    picked = choose(pdf["code"].tolist(), int(pdf["first"].iloc[0]), int(pdf["last"].iloc[0]))
-    for r, option in zip(pdf.itertuples(index=False), picked):
-        _, role, placing, _, inserted = OPTIONS[option]
-        for piece, middle in enumerate(inserted):
-            add(r, piece, middle, "", "insert", True)
-        relabelled = r.code != role
-        action = ("merge" if placing == MERGED else "keep") if not relabelled else ("merge+relabel" if placing == MERGED else "relabel")
-        add(r, 2, role, r.text if r.text is not None else "", action, placing != MERGED)
-    if r.final:
-        for piece, middle in enumerate({USER: (ASSISTANT,), SYSTEM: (USER, ASSISTANT)}.get(int(r.last), ()), 3):
-            add(r, piece, middle, "", "insert", True)
-    names = ["conv", "turn", "block", "part", "piece", "role", "text", "action", "opens", "cost"]
-    return pd.DataFrame(rows, columns=names).astype({"turn": "Int64", "block": "Int64", "conv": pdf["conv"].dtype})
+def _pieces() -> Column:
+    """What a turn becomes: empty turns before it, itself, and empty turns that close the conversation."""
+    code, text = F.col("given.code"), F.col("given.text")
+    same = code == _of_option([F.lit(role) for _, role, _, _, _ in OPTIONS])
+    merged = _of_option([F.lit(placing == MERGED) for _, _, placing, _, _ in OPTIONS])
+    action = F.when(same, F.when(merged, "merge").otherwise("keep")).otherwise(
+        F.when(merged, "merge+relabel").otherwise("relabel")
+    )
+    role = _of_option([F.lit(NAMES[role]) for _, role, _, _, _ in OPTIONS])
+    own = F.array(_piece(2, role, text, action, ~merged))
+    closing = F.when(F.col("closes") & (F.col("after") == USER), _inserted(3, (ASSISTANT,))).when(
+        F.col("closes") & (F.col("after") == SYSTEM), _inserted(3, (USER, ASSISTANT))
+    )
+    before = _of_option([_inserted(0, inserted) for _, _, _, _, inserted in OPTIONS])
+    return F.concat(before, own, F.coalesce(closing, _inserted(3, ())))
 
 
 def repair_chats(
@@ -162,35 +187,45 @@ def repair_chats(
     code = F.lit(-1)
     for name, number in ROLES.items():
         code = F.when(role == name, number).otherwise(code)
+    conv, turn = F.col(conv_col).cast("long"), F.col(turn_col).cast("long")
+    block = F.floor(F.col(turn_col) / block_turns).cast("long")
+    # keys without nulls: the texts are grouped and joined by them in one shuffle
     given = turns.select(
-        F.col(conv_col).cast("long").alias("conv"),
-        F.col(turn_col).cast("long").alias("turn"),
-        F.floor(F.col(turn_col) / block_turns).cast("long").alias("block"),
-        code.cast("int").alias("code"),
-        F.col(text_col).alias("text"),
+        F.coalesce(conv, F.lit(0)).alias("conv0"), conv.isNull().alias("no_conv"),
+        F.coalesce(block, F.lit(0)).alias("block0"), block.isNull().alias("no_block"),
+        turn.alias("turn"), code.cast("int").alias("code"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    )
+    ordered = F.sort_array(F.collect_list(F.struct("turn", "code")))
+    coded = given.groupBy(*BLOCK).agg(F.transform(ordered, lambda t: t["code"]).alias("codes"))
+    coded = work.write(coded.withColumn("cost", _matrix("codes")), "blocks")
+
+    steps = F.sort_array(F.collect_list(F.struct((~F.col("no_block")).alias("dated"), "block0", "cost")))
+    ways = coded.groupBy(*CONVERSATION).agg(steps.alias("steps"))
+    ways = ways.withColumn("way", _states(F.flatten(F.transform("steps", lambda s: s["cost"]))))
+    places = ways.select(*CONVERSATION, "way", F.posexplode("steps").alias("at", "step")).select(
+        *CONVERSATION, F.col("step.block0").alias("block0"), (~F.col("step.dated")).alias("no_block"),
+        F.get("way.states", F.col("at")).alias("before"), F.get("way.states", F.col("at") + 1).alias("after"),
+        (F.col("at") == 0).alias("initial"), (F.col("at") == F.size("way.states") - 2).alias("final"),
+        F.col("way.total").alias("cost"),
+    )
+    choices = coded.drop("cost").join(places, BLOCK).withColumn("options", _picked("codes", "before", "after"))
+    choices = work.write(choices.drop("codes", "before"), "choices")
+
+    texts = given.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(F.struct("turn", "code", "text"))).alias("turns"))
+    placed = texts.join(choices, BLOCK).select(
+        F.when(~F.col("no_conv"), F.col("conv0")).alias("conv"), "initial", "after", "cost", "options",
+        F.col("final").alias("final"), F.size("turns").alias("n"), F.posexplode("turns").alias("part", "given"),
     )
-    def numbered(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = pdf["text"].fillna("")
-        pdf = pdf.assign(_t=key).sort_values(["turn", "code", "_t"], na_position="first", kind="stable").drop(columns="_t")
-        return pdf.assign(part=np.arange(len(pdf), dtype=np.int64))
-
-    schema = "conv long, turn long, block long, code int, text string, part long"
-    placed = work.write(by_key(given, "conv", "block").groupBy("conv", "block").applyInPandas(numbered, schema), "turns")
-    codes = placed.select("conv", "block", "code", "part")
-    matrices = codes.groupBy("conv", "block").applyInPandas(_matrix, "conv long, block long, cost array<double>")
-    states = matrices.groupBy("conv").applyInPandas(_states, "conv long, block long, first int, last int, total double, final boolean")
-    states = states.toDF("_conv", "_block", "first", "last", "total", "final")
-    ready = placed.join(states, F.col("conv").eqNullSafe(F.col("_conv")) & F.col("block").eqNullSafe(F.col("_block"))).drop("_conv", "_block")
-    pieces = ready.groupBy("conv", "block").applyInPandas(
-        _repair,
-        "conv long, turn long, block long, part long, piece int, role string, text string, action string, opens boolean, cost double",
+    placed = placed.withColumn("option", F.get("options", F.col("part"))).drop("options")
+    placed = placed.withColumn("closes", F.col("final") & (F.col("part") == F.col("n") - 1))
+    pieces = placed.select(
+        "conv", "initial", "cost", F.col("given.turn").alias("turn"), F.col("part").cast("long").alias("part"),
+        F.posexplode(_pieces()).alias("nth", "p"),
     )
-    least = pieces.groupBy("conv").agg(F.min(F.struct("turn", "part", "piece")).alias("least"))
-    marked = pieces.join(least.withColumnRenamed("conv", "_conv"), F.col("conv").eqNullSafe(F.col("_conv")))
-    very_first = F.struct("turn", "part", "piece").eqNullSafe(F.col("least"))
-    opening = F.concat(F.when(very_first, "").otherwise("<|end|>\n"), F.lit("<|"), F.col("role"), F.lit("|>\n"))
-    rendered = F.concat(F.when(F.col("opens"), opening).otherwise(F.lit("\n")), F.col("text"))
-    return marked.select(
-        F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "part", "piece", "role", "action", "opens",
+    very_first = F.col("initial") & (F.col("part") == 0) & (F.col("nth") == 0)
+    opening = F.concat(F.when(very_first, "").otherwise("<|end|>\n"), F.lit("<|"), F.col("p.role"), F.lit("|>\n"))
+    rendered = F.concat(F.when(F.col("p.opens"), opening).otherwise(F.lit("\n")), F.col("p.text"))
+    return pieces.select(
+        F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "part", "p.piece", "p.role", "p.action", "p.opens",
         rendered.alias("rendered"), "cost",
     )
