@@ -24,25 +24,13 @@ def labels_to_groups(members: DataFrame, cluster: str) -> DataFrame:
     return counts.join(ids, cluster, "left")
 
 
-def fallback_k(size: int) -> int:
-    """Number of clusters for a number of rows when none is given."""
-    if 100 < size <= 1000:
-        return size // 30
-    if 10 < size <= 100:
-        return size // 10
-    if 1 < size <= 10:
-        return size
-    return max(1, size // 50)
-
-
 def bisecting_cluster(
-    docs: DataFrame, tokens: str = "tokens", k: int | None = None, features: int = 1 << 14, seed: int = 7
+    docs: DataFrame, k: int, tokens: str = "tokens", features: int = 1 << 14, seed: int = 7
 ) -> DataFrame:
     """(id, cluster_id) by repeated bisection of token counts under cosine distance."""
     rows = docs.filter(F.size(tokens) > 0)
     counted = HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=features).transform(rows)
     unit = Normalizer(inputCol="_tf", outputCol="_v").transform(counted).select("id", "_v")
-    k = k or fallback_k(unit.count())
     model = BisectingKMeans(
         featuresCol="_v", predictionCol="cluster_id", k=k, seed=seed, distanceMeasure="cosine"
     ).fit(unit)

@@ -2,50 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearsay.operators.projections import unit_weight
 
 ENTRY = ["word", "first_level", "second_level"]
+NEGATIVE = ["first_level", "second_level", "cal_score", "cal_limit", "cal_num", "cal_num_limit", "result_influence_weight"]
+POSITIVE = ["first_level", "second_level", "single_weight"]
+SHOWN = ["present", "use", "appraise"]
+
+
+def _by_word(table: DataFrame, words: str, *columns: str | Column) -> DataFrame:
+    """One row for each word of a ``;`` list, with the declared columns of its table."""
+    return table.select(F.explode(F.split(words, ";")).alias("word"), *columns)
 
 
 def build_lexicon(negative: DataFrame, positive: DataFrame, presentation: DataFrame) -> DataFrame:
-    """Full join of the negative and positive words, inner join with their presentation."""
-    neg = negative.withColumn("word", F.explode(F.split("cal_words", ";"))).drop("cal_words", "id")
-    neg = neg.withColumn("weight", unit_weight(F.col("cal_num")))
-    pos = positive.withColumn("word", F.explode(F.split("key_words", ";"))).drop(
-        "key_words", "key", "limit_weight", "id"
-    )
-    shown = presentation.withColumn("word", F.explode(F.split("words", ";"))).drop("words", "id")
-    return neg.join(pos, ENTRY, "full").join(shown, "word")
+    """Words that count against or for a subject, or both, as far as there is a way to present them."""
+    against = _by_word(negative, "cal_words", *NEGATIVE, unit_weight(F.col("cal_num")).alias("weight"))
+    counted = against.join(_by_word(positive, "key_words", *POSITIVE), ENTRY, "full")
+    return counted.join(_by_word(presentation, "words", *SHOWN), "word")
 
 
 GRAM_LENGTHS = (8, 4, 2, 1)
 
 
+class Shape(NamedTuple):
+    """What the expansion of a text depends on: the gram lengths in use and the longest part."""
+
+    gram_lengths: list[int]
+    longest: int
+
+
 def _parts(lexicon: DataFrame, entry: str) -> DataFrame:
-    """One row per part of each entry, ``a+b`` having two: part i carries bit i of ``all_parts``."""
+    """One row per part ``i`` of each entry, ``a+b`` having two."""
     parts = F.filter(F.array_distinct(F.split("entry", r"\+")), lambda p: p != "")
     return (
         lexicon.select(F.col(entry).alias("entry"))
         .distinct()
         .withColumn("parts", parts)
         .select("entry", F.size("parts").alias("n_parts"), F.posexplode("parts").alias("i", "part"))
-        .select(
-            "entry",
-            "part",
-            F.expr("shiftleft(1L, i)").alias("bit"),
-            F.expr("shiftleft(1L, n_parts) - 1").alias("all_parts"),
-        )
     )
 
 
+def _gram_length() -> Column:
+    length = F.when(F.length("part") >= GRAM_LENGTHS[0], GRAM_LENGTHS[0])
+    for n in GRAM_LENGTHS[1:]:
+        length = length.when(F.length("part") >= n, n)
+    return length
+
+
+def lexicon_shape(lexicon: DataFrame, entry: str = "word") -> Shape:
+    """One small job on the lexicon; a stream runs it once before it starts."""
+    used = _parts(lexicon, entry).agg(
+        F.collect_set(_gram_length()).alias("lengths"), F.coalesce(F.max(F.length("part")), F.lit(1)).alias("longest")
+    )
+    row = used.first()
+    return Shape(sorted(row["lengths"]) or [1], row["longest"])
+
+
 def _complete(found: DataFrame, keys: list[str], entry: str) -> DataFrame:
+    """The entries all of whose parts were found, however many there are."""
     return (
-        found.groupBy(*keys, "entry", "all_parts")
-        .agg(F.bit_or("bit").alias("found"))
-        .filter("found = all_parts")
+        found.groupBy(*keys, "entry", "n_parts")
+        .agg(F.count_distinct("i").alias("found"))
+        .filter("found = n_parts")
         .select(*keys, F.col("entry").alias(entry))
     )
 
@@ -56,32 +80,30 @@ def match_segments(
     keys: list[str],
     text: str = "segment",
     entry: str = "word",
-    gram_lengths: list[int] | None = None,
+    shape: Shape | None = None,
 ) -> DataFrame:
     """(keys, entry) for every segment that contains all parts of an entry.
 
     Containment becomes an equi-join. A part is anchored on its leading gram, of the largest length in
-    ``GRAM_LENGTHS`` that fits; a segment offers one gram per position and gram length in use, and the
-    part is verified at that position. The expansion is linear in the text, whatever the lexicon's
-    size. ``gram_lengths`` names the lengths in use; by default one small job on the lexicon finds them.
+    ``GRAM_LENGTHS`` that fits; a segment offers one gram per position and gram length in use, with the
+    characters that follow it as far as the longest part goes, and the part is verified on those. Rows
+    and bytes are linear in the text, whatever the lexicon's size. ``shape`` is that of the lexicon; by
+    default it is computed here.
     """
-    length = F.when(F.length("part") >= GRAM_LENGTHS[0], GRAM_LENGTHS[0])
-    for n in GRAM_LENGTHS[1:]:
-        length = length.when(F.length("part") >= n, n)
-    parts = _parts(lexicon, entry).withColumn("gram_length", length)
-    if gram_lengths is None:
-        gram_lengths = parts.agg(F.collect_set("gram_length").alias("used")).first()["used"]
+    gram_lengths, longest = shape or lexicon_shape(lexicon, entry)
+    parts = _parts(lexicon, entry).withColumn("gram_length", _gram_length())
     anchors = parts.withColumn("gram", F.substring("part", F.lit(1), F.col("gram_length"))).drop("gram_length")
     located = (
         segments.select(*keys, F.col(text).alias("_text"))
-        .withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sorted(gram_lengths)] or [F.lit(1)])))
+        .withColumn("_n", F.explode(F.array(*[F.lit(n) for n in gram_lengths])))
         .filter(F.length("_text") >= F.col("_n"))
         .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1)))
-        .withColumn("gram", F.substring(F.col("_text"), F.col("_at"), F.col("_n")))
-    )
-    hits = located.join(anchors, "gram").filter(
-        F.substring(F.col("_text"), F.col("_at"), F.length("part")) == F.col("part")
+        .select(
+            *keys, F.substring(F.col("_text"), F.col("_at"), F.col("_n")).alias("gram"),
+            F.substring(F.col("_text"), F.col("_at"), F.lit(longest)).alias("_ahead"),
+        )
     )
+    hits = located.join(anchors, "gram").filter(F.startswith(F.col("_ahead"), F.col("part")))
     return _complete(hits, keys, entry)
 
 

@@ -11,10 +11,11 @@ from hearsay import labels, schemas
 from hearsay.functions import strings, times
 
 
-def parse_mentions(messages: DataFrame, as_of: datetime, value: str = "value") -> DataFrame:
+def parse_mentions(messages: DataFrame, as_of: datetime | None, value: str = "value") -> DataFrame:
     """JSON messages to mention rows; a row that does not parse keeps its text in ``rejected``.
 
-    ``mainBody`` may be a comma-separated string or an array; ``segments_raw`` holds either.
+    ``mainBody`` may be a comma-separated string or an array; ``segments_raw`` holds either. Without
+    ``as_of`` an empty creation time is the current time, in a stream that of the batch.
     """
     text = F.col(value)
     whole = F.contains(text, F.lit("}"))
@@ -24,7 +25,8 @@ def parse_mentions(messages: DataFrame, as_of: datetime, value: str = "value") -
         F.from_json(text, schemas.MENTION_LIST_BODY)["mainBody"].alias("body_list"),
     )
     is_list = F.rlike(F.get_json_object("raw", "$.mainBody"), F.lit(r"^\s*\["))
-    now = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S"))
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    now = F.date_format(F.current_timestamp(), stamp) if as_of is None else F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S"))
     body = F.col("m.mainBody")
     return rows.select(
         F.col("m.searchId").alias("search_id"),

@@ -60,9 +60,10 @@ def analyze(
     windows = windows or labels.SECTIONS
     now = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     now_ms = F.unix_millis(now)
+    earlier = stored.reports.filter(F.col("p_create_time") < now_ms)
     requested = tasks.task_search(stored.real_tasks, stored.searches, requests, now_ms)
     requested = requested.withColumn("nick_name", strings.subject_name(F.col("nick_name")))
-    requested = work.write(tasks.last_test_lookup(requested, stored.reports), "tasks")
+    requested = work.write(tasks.last_test_lookup(requested, earlier), "tasks")
 
     kept = projections.has_evidence(stored.mentions).filter("content_words IS NOT NULL")
     look_back = max([370, *windows.values()])
@@ -82,7 +83,7 @@ def analyze(
 
     matches = projections.explode_matches(mentions)
     matches = work.write(projections.sections(matches, now, dict(windows)), "matches")
-    previous = tasks.previous_report(stored.reports)
+    previous = tasks.previous_report(earlier)
     result = reports.health_report(requested, matches, overview, previous, service)
     return Analysis(found, result, notifications(requested))
 

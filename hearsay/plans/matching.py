@@ -36,7 +36,7 @@ def match_mentions(
     mentions: DataFrame,
     lexicon: DataFrame,
     influence: DataFrame,
-    gram_lengths: list[int] | None = None,
+    shape: lex.Shape | None = None,
     whole_tokens: bool = False,
     topic_words: bool = True,
 ) -> Matched:
@@ -54,8 +54,10 @@ def match_mentions(
     if whole_tokens:
         found = lex.match_token_set(segments, words, [*KEYS, "appraise"], "segment")
     else:
-        keys = [*KEYS, "appraise", "segment"]
-        found = lex.match_segments(segments.withColumn("_text", F.col("segment")), words, keys, "_text", gram_lengths=gram_lengths)
+        # a segment's number stands for its text in the expansion and its shuffles
+        segments = work.write(segments.withColumn("segment_id", F.monotonically_increasing_id()), "segments")
+        found = lex.match_segments(segments, words, [*KEYS, "appraise", "segment_id"], shape=shape)
+        found = found.join(segments.select("segment_id", "segment"), "segment_id").drop("segment_id")
     hits = work.write(found.join(entries.select("word", "appraise").distinct(), ["word", "appraise"], "left_semi"), "hits")
     weighted = lex.source_weight(rows, influence)
     scored = scoring.mention_risk(weighted, hits.drop("appraise"), entries, KEYS)

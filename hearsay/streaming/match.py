@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from hearsay.operators.lexicon import Shape, lexicon_shape
 from hearsay.operators.projections import parse_mentions
+from hearsay.operators.ranking import latest_per_key
 from hearsay.plans.matching import KEYS, match_mentions
 from hearsay.sinks.tables import write_batch
 
 
-def event_time(messages: DataFrame, as_of: datetime, delay: str = "5 minutes") -> DataFrame:
+def event_time(messages: DataFrame, as_of: datetime | None, delay: str = "5 minutes") -> DataFrame:
     """Parsed mentions with a watermark on their creation time."""
     parsed = parse_mentions(messages, as_of)
     stamp = F.try_to_timestamp("create_time", F.lit("yyyy-MM-dd HH:mm:ss"))
@@ -29,25 +31,31 @@ def match_stream(
     messages: DataFrame,
     lexicon: DataFrame,
     influence: DataFrame,
-    as_of: datetime,
+    as_of: datetime | None,
     output: str,
     checkpoint: str,
-    gram_lengths: list[int] | None = None,
+    shape: Shape | None = None,
     drop_repeats: bool = False,
 ) -> DataStreamWriter:
     """Writer that matches every micro-batch and stores mentions and warnings under ``output``.
 
     A message holds a whole mention, so no state spans batches. Each batch writes its own folder, so a
-    replayed batch replaces itself; readers take the newest row per mention. ``drop_repeats`` also
-    removes repeats inside the watermark before matching, which drops late rows.
+    replayed batch replaces itself; readers take the newest row per mention. Of repeats in a batch the one
+    created last is matched; messages that do not parse go to ``rejects``. Without ``as_of`` a mention that
+    has no creation time gets the time of its batch. ``drop_repeats`` also removes repeats inside the
+    watermark before matching, which drops late rows.
     """
+    shape = shape or lexicon_shape(lexicon)
     mentions = event_time(messages, as_of)
     if drop_repeats:
         mentions = dedup(mentions)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop("event_time").dropDuplicates(KEYS)
-        matched = match_mentions(rows, lexicon, influence, gram_lengths)
+        write_batch(batch.filter("rejected IS NOT NULL").select("rejected"), f"{output}/rejects", batch_id)
+        rows = batch.drop("event_time").filter("rejected IS NULL")
+        rest = [c for c in rows.columns if c not in (*KEYS, "create_time")]
+        rows = latest_per_key(rows, KEYS, ["create_time", *rest])
+        matched = match_mentions(rows, lexicon, influence, shape)
         write_batch(matched.mentions, f"{output}/mentions", batch_id)
         write_batch(matched.warnings, f"{output}/warnings", batch_id)
 

@@ -111,12 +111,12 @@ def numbered(source: str, key: str, column: str, marks: str = labels.SENTENCE_MA
 
 @query(
     "sentence_rank",
-    f"""WITH {ranked_sql(numbered('conversations', 'k', 'text').replace('SELECT k, list_filter', 'SELECT conv_id * 1000 + turn AS k, list_filter'), 'k')}
+    f"""WITH {ranked_sql(numbered('conversations', 'k', 'text').replace('SELECT k, list_filter', "SELECT conv_id || '/' || turn AS k, list_filter"), 'k')}
 SELECT k, sentence, round(score, 6) AS score FROM rk""",
 )
 def sentence_rank(spark, sf_dir):
     turns = fx.tables(spark, sf_dir).table("conversations", ["conv_id", "turn", "text"])
-    rows = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), "text")
+    rows = turns.select(F.concat_ws("/", "conv_id", "turn").alias("k"), "text")
     ranked = text.sentence_rank(rows, "k", "text")
     return ranked.select("k", "sentence", F.round("score", 6).alias("score"))
 
@@ -201,8 +201,8 @@ def event_summary(spark, sf_dir):
     return text.event_summary(turns, "conv_id", "turn", "text", marks=labels.SENTENCE_MARKS)
 
 
-VECTORS = 500
-NUMBER = "(length(token) * 31 + ascii(token) * 17) % 500"
+#: a token's vector: this number, modulo the number of vectors
+NUMBER = "(length(token) * 31 + CAST(ascii(token) AS BIGINT) * 7919 + CAST(ascii(right(token, 1)) AS BIGINT) * 104729)"
 
 
 def word_vectors(spark, sf_dir):
@@ -211,14 +211,16 @@ def word_vectors(spark, sf_dir):
     letters = tokens.select(F.explode(F.split("token", "")).alias("token")).filter("token <> ''").distinct()
     known = tokens.filter("length(token) >= 4").unionByName(letters)
     points = fx.points(spark, sf_dir).select(F.col("id").alias("v"), "vector")
-    return known.withColumn("v", F.expr(NUMBER).cast("bigint")).join(points, "v").select("token", "vector")
+    n = points.count()
+    return known.withColumn("v", F.expr(NUMBER) % n).join(points, "v").select("token", "vector")
 
 
 VECTOR_VIEWS = f"""tt AS (SELECT doc_id, {TOKENS_SQL.format('title')} AS t, title FROM title_tokens),
 tok AS (SELECT doc_id, unnest(t) AS token FROM tt),
 letter AS (SELECT DISTINCT unnest(string_split(token, '')) AS token FROM tok),
 known AS (SELECT DISTINCT token FROM tok WHERE length(token) >= 4 UNION ALL SELECT token FROM letter WHERE token <> ''),
-wv AS (SELECT token, vector FROM known JOIN points ON points.id = {NUMBER.replace('ascii', 'unicode')}),
+np AS (SELECT count(*) AS n FROM points),
+wv AS (SELECT token, vector FROM (SELECT token, {NUMBER.replace('ascii', 'unicode')} % n AS v FROM known, np) JOIN points ON points.id = v),
 w1 AS (SELECT doc_id, vector FROM tok JOIN wv USING (token)),
 w2 AS (SELECT doc_id, vector FROM (SELECT doc_id, unnest(string_split(lower(title), '')) AS token FROM tt
     WHERE doc_id NOT IN (SELECT doc_id FROM w1)) JOIN wv USING (token) WHERE regexp_matches(token, '\\p{{L}}')),
