@@ -49,6 +49,15 @@ def test_substring_and_conjunction_matching(spark):
     assert got == expected
 
 
+def test_entries_of_many_parts(spark):
+    parts = [f"p{i:03d}" for i in range(100)]
+    words = spark.createDataFrame([("+".join(parts),), (parts[0],)], "word string")
+    rows = [(1, " ".join(parts)), (2, " ".join(parts[:-1])), (3, parts[0]), (4, "")]
+    segments = spark.createDataFrame(rows, "s long, segment string")
+    got = {(r["s"], len(r["word"])) for r in lexicon.match_segments(segments, words, ["s"]).collect()}
+    assert got == {(1, 499), (1, 4), (2, 4), (3, 4)}
+
+
 def test_token_set_matching(spark):
     tokens = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "s long, token string")
     words = spark.createDataFrame([("a+b",), ("a",)], "word string")
