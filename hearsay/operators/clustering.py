@@ -7,7 +7,7 @@ from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearsay.operators.listing import ids_text, listable
+from hearsay.operators.listing import PAGE_SIZE, id_pages
 
 
 def cluster_sizes(members: DataFrame, cluster: str) -> DataFrame:
@@ -17,11 +17,9 @@ def cluster_sizes(members: DataFrame, cluster: str) -> DataFrame:
     return sizes.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k")
 
 
-def labels_to_groups(members: DataFrame, cluster: str) -> DataFrame:
-    """Ids of each cluster as text; a cluster too large for a cell is read from ``listing.id_pages``."""
-    counts = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("members"))
-    ids = listable(members.select(cluster, "id"), [cluster]).groupBy(cluster).agg(ids_text().alias("ids"))
-    return counts.join(ids, cluster, "left")
+def labels_to_groups(members: DataFrame, cluster: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """(cluster, page, members, ids): the ids of each cluster as pages of text, and its size."""
+    return id_pages(members, [cluster], page_size).withColumnRenamed("n", "members")
 
 
 def bisecting_cluster(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hearsay import labels
 from hearsay.operators import scoring
-from hearsay.operators.listing import ids_text, listable
+from hearsay.operators.listing import PAGE_SIZE, ids_text, paged
 
 KEYS = ["real_id", "event_id", "section"]
 
@@ -85,25 +85,14 @@ def event_members(mentions: DataFrame, keys: list[str]) -> DataFrame:
     return mentions.select(*keys, "id", (F.col("publish_ms") > F.col("last_test")).alias("new"))
 
 
-def event_newness(mentions: DataFrame, keys: list[str]) -> DataFrame:
-    """Sorted ids, the ids published after the last test, and whether all of them are.
-
-    The counts are plain aggregates; the id cells are built for groups that fit one cell.
-    """
-    members = event_members(mentions, keys)
-    counts = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if("new").alias("n_new"))
-    small = listable(members, keys)
-    ids = small.groupBy(*keys).agg(ids_text().alias("ids"))
-    new_ids = small.filter("new").groupBy(*keys).agg(ids_text().alias("new_ids"))
-    return (
-        counts.join(ids, keys, "left")
-        .join(new_ids, keys, "left")
-        .select(
-            *keys,
-            "ids",
-            F.when(F.col("ids").isNotNull(), F.coalesce("new_ids", F.lit(""))).alias("new_ids"),
-            F.when(F.col("n") == F.col("n_new"), 1).otherwise(0).alias("is_new"),
-        )
+def event_newness(mentions: DataFrame, keys: list[str], page_size: int = PAGE_SIZE) -> DataFrame:
+    """Pages of the sorted ids and of those published after the last test, and whether all ids are such."""
+    totals = {"n": F.count(F.lit(1)), "n_new": F.count_if("new")}
+    rows = paged(event_members(mentions, keys), keys, page_size, totals)
+    return rows.groupBy(*keys, "page").agg(
+        ids_text().alias("ids"),
+        ids_text(only=F.col("new")).alias("new_ids"),
+        F.when(F.max("n") == F.max("n_new"), 1).otherwise(0).alias("is_new"),
     )
 
 
@@ -114,9 +103,10 @@ def event_representative_id(mentions: DataFrame, keys: list[str]) -> DataFrame:
 def event_alert(events: DataFrame, history: DataFrame, warn: float = labels.EVENT_WARN_RISK) -> DataFrame:
     """Mark recent events that are new or whose risk crossed the warning line.
 
-    ``history`` holds stored section-1 risks per (real_id, event_id); a missing one counts 100.
+    ``history`` holds stored section-1 risks per (real_id, event_id), on each page of an event; a missing
+    one counts 100.
     """
-    known = history.select("real_id", "event_id", F.col("risk_value").alias("history_risk"))
+    known = history.groupBy("real_id", "event_id").agg(F.max("risk_value").alias("history_risk"))
     joined = events.join(known, ["real_id", "event_id"], "left")
     recent = F.col("section") == 1
     unknown = recent & F.col("history_risk").isNull()
@@ -132,7 +122,7 @@ def event_alert(events: DataFrame, history: DataFrame, warn: float = labels.EVEN
 
 
 def event_membership(mentions: DataFrame, history: DataFrame) -> DataFrame:
-    """First historical event (by ``event_order``) that lists the mention."""
+    """First historical event (by ``event_order``) that lists the mention on one of its pages."""
     listed = history.select(
         "real_id", "event_id", "event_order", F.explode(F.split("ids", ",")).alias("listed")
     ).select("real_id", "event_id", "event_order", F.col("listed").cast("bigint").alias("id"))
@@ -143,10 +133,11 @@ def event_membership(mentions: DataFrame, history: DataFrame) -> DataFrame:
     return mentions.join(found, ["real_id", "id"])
 
 
-def event_representative(events: DataFrame, articles: DataFrame) -> DataFrame:
-    """Article with the largest member id of each event."""
+def event_representative(events: DataFrame, articles: DataFrame, key: str = "event_id") -> DataFrame:
+    """Article with the largest member id of each event, over all of its pages."""
     ids = F.transform(F.split("ids", ","), lambda i: i.cast("bigint"))
-    return events.withColumn("id", F.array_max(ids)).join(articles, "id")
+    largest = events.groupBy(key).agg(F.max(F.array_max(ids)).alias("id"))
+    return largest.join(articles, "id")
 
 
 def event_centroid(vectors: DataFrame, keys: list[str], dim: int, vector: str = "vector") -> DataFrame:
@@ -156,13 +147,13 @@ def event_centroid(vectors: DataFrame, keys: list[str], dim: int, vector: str =
 
 
 def events_by_section(
-    mentions: DataFrame, matches: DataFrame, keys: list[str] | None = None
+    mentions: DataFrame, matches: DataFrame, keys: list[str] | None = None, page_size: int = PAGE_SIZE
 ) -> DataFrame:
-    """All event columns per (real_id, event_id, section)."""
+    """All event columns per (real_id, event_id, section), on each page of the event's ids."""
     keys = keys or KEYS
     result = event_section(mentions, matches, keys)
     for part in (
-        event_newness(mentions, keys),
+        event_newness(mentions, keys, page_size),
         platform_distribution(mentions, keys),
         daily_counts(mentions, keys),
         daily_risk(mentions, matches, keys),

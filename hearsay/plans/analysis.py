@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hearsay import labels
 from hearsay.functions import strings
 from hearsay.operators import events, projections, reports, tasks
+from hearsay.operators.listing import PAGE_SIZE
 from hearsay.plans.events import assign_events
 from hearsay.sinks.tables import notifications
 from hearsay.workspace import Rounds
@@ -23,7 +24,7 @@ class Stored:
     ``mentions``: search_id, id, publish_ts, author, platform, appraise, risk_value, heat, title,
     content_words, present_json. ``real_tasks``: real_id, search_id, create_ms, is_vip. ``searches``:
     search_id, search_keys. ``reports``: real_id, section, p_create_time, risk_value. ``event_history``:
-    real_id, event_id, section, risk_value, event_order, ids, event_title, event_summary.
+    real_id, event_id, section, risk_value, event_order, page, ids, event_title, event_summary.
     """
 
     mentions: DataFrame
@@ -50,11 +51,13 @@ def analyze(
     threshold: float = labels.EVENT_THRESHOLD,
     marks: str = labels.SUMMARY_MARKS,
     service: str = "",
+    page_size: int = PAGE_SIZE,
 ) -> Analysis:
     """Analyse the requested tasks (real_id, search_id) as of a time.
 
     Every request gets one report per section; one without mentions gets the default reports. Nothing
     is written but intermediate tables: the caller stores the result. ``service`` signs the report texts.
+    Id lists come in pages of about ``page_size`` ids, one row each.
     """
     work = Rounds(requests.sparkSession, "analysis")
     windows = windows or labels.SECTIONS
@@ -78,18 +81,18 @@ def analyze(
     members, described = assign_events(
         mentions, stored.word_vectors, stored.dim, stored.event_history, threshold, marks
     )
-    found = _event_rows(work, mentions, members, described, windows, now, stored.event_history)
+    found = _event_rows(work, mentions, members, described, windows, now, stored.event_history, page_size)
     overview = reports.event_overview(found, ["real_id", "section"])
 
     matches = projections.explode_matches(mentions)
     matches = work.write(projections.sections(matches, now, dict(windows)), "matches")
     previous = tasks.previous_report(earlier)
-    result = reports.health_report(requested, matches, overview, previous, service)
+    result = reports.health_report(requested, matches, overview, previous, service, page_size)
     return Analysis(found, result, notifications(requested))
 
 
-def _event_rows(work, mentions, members, described, windows, now, history) -> DataFrame:
-    """Stored form of the events: one row per event and section, with alerts against the history."""
+def _event_rows(work, mentions, members, described, windows, now, history, page_size) -> DataFrame:
+    """Stored form of the events: rows per event, section and page of ids, with alerts against the history."""
     rows = mentions.join(members, ["real_id", "id"])
     named = rows.groupBy("real_id", "event_key").agg(
         F.max_by("id", F.struct("publish_ts", "id")).alias("event_id")
@@ -98,7 +101,7 @@ def _event_rows(work, mentions, members, described, windows, now, history) -> Da
     # the event's widest section covers all of its mentions
     cover = {section: None if section == max(windows) else days for section, days in windows.items()}
     rows = work.write(projections.sections(rows, now, cover), "sectioned")
-    metrics = events.events_by_section(rows, projections.explode_matches(rows))
+    metrics = events.events_by_section(rows, projections.explode_matches(rows), page_size=page_size)
     titled = metrics.join(named.join(described, ["real_id", "event_key"]), ["real_id", "event_id"])
     if history is None:
         schema = "real_id long, event_id long, risk_value double"

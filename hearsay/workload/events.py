@@ -93,10 +93,11 @@ def event_word(spark, sf_dir):
     return events.event_word(matched(spark, sf_dir), KEYS)
 
 
-NEWNESS_SQL = f"""SELECT {K}, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids,
+NEWNESS_SQL = f"""SELECT {K}, page, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids,
   coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) FILTER (publish_ms > last_test), '') AS new_ids,
-  CASE WHEN count(*) = count(*) FILTER (publish_ms > last_test) THEN 1 ELSE 0 END AS is_new
-FROM sec GROUP BY {K}"""
+  CASE WHEN min(least_ms) > any_value(last_test) THEN 1 ELSE 0 END AS is_new
+FROM (SELECT *, {fx.page_sql(K)} AS page, min(publish_ms) OVER (PARTITION BY {K}) AS least_ms FROM sec)
+GROUP BY {K}, page"""
 
 
 @query("event_newness", f"WITH {SECTIONED}\n{NEWNESS_SQL}", "assigned lexicon")
@@ -118,12 +119,12 @@ def current_events(spark, sf_dir):
     return events.event_section(rows, found, KEYS).join(events.event_newness(rows, KEYS), KEYS)
 
 
-ALERT_SQL = f"""SELECT real_id, event_id, section, risk_value, label, event_appraise,
+ALERT_SQL = f"""SELECT real_id, event_id, section, page, risk_value, label, event_appraise,
   CASE WHEN section = 1 AND h IS NULL THEN 1 ELSE is_new END AS is_new,
   CASE WHEN section = 1 AND h IS NULL THEN ids ELSE new_ids END AS new_ids,
   coalesce(h, 100)::DOUBLE AS history_risk,
   CASE WHEN section = 1 AND risk_value > 12 AND (coalesce(h, 100) < 12 OR h IS NULL OR is_new = 1) THEN 1 ELSE 0 END AS new_warn
-FROM (SELECT s.*, n.ids, n.new_ids, n.is_new, e.risk_value AS h FROM ({SECTION_SQL}) s
+FROM (SELECT s.*, n.page, n.ids, n.new_ids, n.is_new, e.risk_value AS h FROM ({SECTION_SQL}) s
   JOIN ({NEWNESS_SQL}) n USING ({K}) LEFT JOIN event_history e USING (real_id, event_id))"""
 
 
@@ -134,14 +135,14 @@ def alerted(spark, sf_dir):
 @query("event_alert", f"WITH {SECTIONED}\n{ALERT_SQL}", "assigned lexicon event_history")
 def event_alert(spark, sf_dir):
     return alerted(spark, sf_dir).select(
-        *KEYS, "risk_value", "label", "event_appraise", "is_new", "new_ids", "history_risk", "new_warn"
+        *KEYS, "page", "risk_value", "label", "event_appraise", "is_new", "new_ids", "history_risk", "new_warn"
     )
 
 
 @query(
     "event_overview",
     f"""WITH {SECTIONED},
-al AS ({ALERT_SQL}),
+al AS (SELECT * FROM ({ALERT_SQL}) WHERE page = 0),
 c AS (SELECT real_id, section, count(*) AS total, count(*) FILTER (event_appraise = '{NEG}') AS risky
   FROM al GROUP BY real_id, section),
 l AS (SELECT real_id, section, label, count(*) AS n FROM al

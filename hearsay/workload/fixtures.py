@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearsay import labels
 from hearsay.functions.arrays import explode_once
+from hearsay.operators import listing
 from hearsay.sources.tables import Catalog
 from hearsay.workspace import spread
 
@@ -323,6 +324,14 @@ def sql_views(names: list[str], sql: str) -> str:
     return f"WITH {views}\n{sql}"
 
 
+def page_sql(keys: str) -> str:
+    """SQL of the page of a row's ``id`` among the rows of its group."""
+    group = f"OVER (PARTITION BY {keys})"
+    pages = f"CAST(ceil(count(*) {group} / {listing.PAGE_SIZE}.0) AS BIGINT)"
+    mixed = f"(id % {listing.MODULUS}) * {listing.FACTOR} % {listing.MODULUS}"
+    return f"CAST(CASE WHEN id = min(id) {group} THEN 0 ELSE {mixed} % {pages} END AS INTEGER)"
+
+
 def deduction_sql(source: str, keys: str, order: str = "id, word") -> str:
     """SQL of the deduction per indicator over ``source``."""
     return f"""

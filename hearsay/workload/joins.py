@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hearsay import labels
 from hearsay.operators import events, lexicon, scoring, tasks
+from hearsay.operators.listing import id_pages
 from hearsay.operators.projections import missing_summary, stale_content
 from hearsay.functions import strings
 from hearsay.sources.tables import id_list_scan
@@ -235,11 +236,9 @@ def export_join(spark, sf_dir):
 def listed_history(spark, sf_dir):
     """Stored events with their id lists: two overlapping groupings, so that a mention may be in both."""
     rows = fx.assigned(spark, sf_dir).filter(F.col("publish_ms") <= F.col("last_test"))
-    ids = F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids")
-    fine = rows.filter(F.col("appraise") == labels.NEGATIVE).groupBy("real_id", "event_id").agg(ids)
-    coarse = (
-        rows.withColumn("event_id", -F.col("real_id") - 1).groupBy("real_id", "event_id").agg(ids)
-    )
+    keys = ["real_id", "event_id"]
+    fine = id_pages(rows.filter(F.col("appraise") == labels.NEGATIVE), keys)
+    coarse = id_pages(rows.withColumn("event_id", -F.col("real_id") - 1), keys)
     return fine.withColumn("event_order", F.lit(1)).unionByName(coarse.withColumn("event_order", F.lit(2)))
 
 
@@ -257,7 +256,7 @@ def event_membership(spark, sf_dir):
 @query(
     "event_representative",
     f"""SELECT e.event_id, a.id, length(a.content) AS n FROM ({EVENTS_TO_FILL}) e JOIN article a ON a.id = e.event_id
-WHERE event_summary IS NULL OR event_summary = ''""",
+WHERE e.page = 0 AND (event_summary IS NULL OR event_summary = '')""",
     "article",
 )
 def event_representative(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hearsay import labels
 from hearsay.functions import strings, times
 from hearsay.operators import projections as ops
+from hearsay.operators.listing import ids_text, paged
 from hearsay.workload import fixtures as fx
 from hearsay.workload.registry import query
 
@@ -149,10 +150,10 @@ def stale_content(spark, sf_dir):
 
 def events_to_fill(spark, sf_dir):
     """One event per (source, language) of the articles; some lack a summary."""
+    rows = paged(fx.article(spark, sf_dir).select("source_name", "lang", "id"), ["source_name", "lang"], totals={"event_id": F.max("id")})
     return (
-        fx.article(spark, sf_dir)
-        .groupBy("source_name", "lang")
-        .agg(F.max("id").alias("event_id"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids"))
+        rows.groupBy("source_name", "lang", "event_id", "page")
+        .agg(ids_text().alias("ids"))
         .withColumn(
             "event_summary",
             F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 1, F.lit(None)).otherwise("kept"),
@@ -160,19 +161,21 @@ def events_to_fill(spark, sf_dir):
     )
 
 
-EVENTS_TO_FILL = """SELECT source_name, lang, max(id) AS event_id,
+EVENTS_TO_FILL = f"""SELECT source_name, lang, event_id, page,
   string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids,
-  CASE WHEN max(id) % 3 = 0 THEN '' WHEN max(id) % 3 = 1 THEN NULL ELSE 'kept' END AS event_summary
-FROM article GROUP BY source_name, lang"""
+  CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN NULL ELSE 'kept' END AS event_summary
+FROM (SELECT source_name, lang, id, max(id) OVER (PARTITION BY source_name, lang) AS event_id,
+  {fx.page_sql('source_name, lang')} AS page FROM article)
+GROUP BY source_name, lang, event_id, page"""
 
 
 @query(
     "missing_summary",
-    f"SELECT event_id, ids FROM ({EVENTS_TO_FILL}) WHERE event_summary IS NULL OR event_summary = ''",
+    f"SELECT event_id, page, ids FROM ({EVENTS_TO_FILL}) WHERE event_summary IS NULL OR event_summary = ''",
     "article",
 )
 def missing_summary(spark, sf_dir):
-    return ops.missing_summary(events_to_fill(spark, sf_dir)).select("event_id", "ids")
+    return ops.missing_summary(events_to_fill(spark, sf_dir)).select("event_id", "page", "ids")
 
 
 @query(

@@ -106,15 +106,14 @@ def sort_dates(spark, sf_dir):
 
 @query(
     "sort_ids",
-    """SELECT event_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids
-FROM assigned GROUP BY event_id""",
+    f"""SELECT event_id, page, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids
+FROM (SELECT event_id, id, {fx.page_sql('event_id')} AS page FROM assigned) GROUP BY event_id, page""",
     "assigned",
 )
 def sort_ids(spark, sf_dir):
-    from hearsay.operators.listing import ids_text, listable
+    from hearsay.operators.listing import id_pages
 
-    rows = listable(fx.assigned(spark, sf_dir).select("event_id", "id"), ["event_id"])
-    return rows.groupBy("event_id").agg(ids_text().alias("ids"))
+    return id_pages(fx.assigned(spark, sf_dir), ["event_id"]).select("event_id", "page", "ids")
 
 
 @query(

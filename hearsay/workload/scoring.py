@@ -197,17 +197,20 @@ def period_change(spark, sf_dir):
     return values.join(previous, "real_id").select("real_id", "section", "risk_value", change.alias("result_ratio"))
 
 
-EVIDENCE_SQL = f"""SELECT {{keys}}, string_agg(key || ':' || n || '|' || ids, ';' ORDER BY n DESC, key) AS present_words
-FROM (SELECT {{keys}}, key, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY publish_ts, id) AS ids
-  FROM (SELECT {{keys}}, key, id, min(publish_ts) AS publish_ts FROM (
-      SELECT {{keys}}, present || '-' AS key, id, publish_ts FROM {{source}}
-        WHERE appraise = '{NEG}' AND use = '{labels.DESCRIPTOR}'
-      UNION ALL SELECT {{keys}}, present, id, publish_ts FROM {{source}} WHERE appraise = '{POS}')
-    GROUP BY {{keys}}, key, id)
-  GROUP BY {{keys}}, key) GROUP BY {{keys}}"""
+def evidence_sql(keys: str, source: str) -> str:
+    return f"""SELECT {keys}, page, string_agg(key || ':' || n || '|' || ids, ';' ORDER BY n DESC, key) AS present_words
+FROM (SELECT {keys}, page, key, any_value(n) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY publish_ts, id) AS ids
+  FROM (SELECT *, {fx.page_sql(keys)} AS page, count(*) OVER (PARTITION BY {keys}, key) AS n
+    FROM (SELECT {keys}, key, id, min(publish_ts) AS publish_ts FROM (
+        SELECT {keys}, present || '-' AS key, id, publish_ts FROM {source}
+          WHERE appraise = '{NEG}' AND use = '{labels.DESCRIPTOR}'
+        UNION ALL SELECT {keys}, present, id, publish_ts FROM {source} WHERE appraise = '{POS}')
+      GROUP BY {keys}, key, id))
+  GROUP BY {keys}, page, key) GROUP BY {keys}, page"""
 
 
-@query("evidence_listing", EVIDENCE_SQL.format(keys="real_id", source="matches"), "matches")
+
+@query("evidence_listing", evidence_sql("real_id", "matches"), "matches")
 def evidence_listing(spark, sf_dir):
     return reports.evidence_listing(fx.matches(spark, sf_dir), ["real_id"])
 
@@ -221,16 +224,16 @@ JOIN (VALUES {', '.join(f'({s}, {d})' for s, d in fx.WINDOWS.items())}) s(sectio
     "health_report",
     f"""WITH sm AS ({SECTION_SQL.format(source='matches')}),
 v AS ({health_sql('real_id, section', 'sm')}),
-e AS ({EVIDENCE_SQL.format(keys='real_id, section', source='sm')}),
+e AS ({evidence_sql('real_id, section', 'sm')}),
 pr AS ({PREVIOUS_SQL}),
 d AS (SELECT DISTINCT real_id, section FROM sm),
 g AS (SELECT t.*, s.section FROM task t CROSS JOIN (VALUES (1), (2), (3)) s(section)),
 j AS (SELECT g.real_id, g.search_id, g.search_keys, g.section, d.real_id IS NOT NULL AS has,
     CASE WHEN d.real_id IS NULL THEN 99.0 ELSE coalesce(v.risk_value, 99.0) END::DOUBLE AS risk_value,
-    e.present_words, pr.previous
+    coalesce(e.page, 0) AS page, e.present_words, pr.previous
   FROM g LEFT JOIN d USING (real_id, section) LEFT JOIN v USING (real_id, section)
   LEFT JOIN e USING (real_id, section) LEFT JOIN pr USING (real_id, section))
-SELECT real_id, search_id, split_part(search_keys, ' ', 2) AS nick_name, section, risk_value,
+SELECT real_id, search_id, split_part(search_keys, ' ', 2) AS nick_name, section, page, risk_value,
   CASE WHEN has THEN '{labels.INDENT}{labels.REPORT_RESULT}' || {level_sql('risk_value', 1)} ||
     '{labels.RATIO_SLOT}' || chr(10) || '{labels.INDENT}{labels.REPORT_NOW}{labels.EVENTS_ALL}0{labels.EVENTS_UNIT}{labels.NEW_EVENT_SLOT}。{labels.REPORT_WATCH}'
     || chr(10) || '{labels.INDENT}' || {level_sql('risk_value', 2)}

@@ -146,7 +146,7 @@ def extract_summary(spark, sf_dir):
 src AS (SELECT a.id AS doc_id, a.content FROM article a
   WHERE a.id IN (SELECT event_id FROM ev WHERE event_summary IS NULL OR event_summary = '')),
 {best_sql('doc_id', ranked_sql(numbered('src', 'doc_id', 'content'), 'doc_id'), 100)}
-SELECT event_id, ids, CASE WHEN event_summary IS NULL OR event_summary = '' THEN coalesce(sm.summary, '')
+SELECT event_id, page, ids, CASE WHEN event_summary IS NULL OR event_summary = '' THEN coalesce(sm.summary, '')
   ELSE event_summary END AS event_summary
 FROM ev LEFT JOIN sm ON sm.doc_id = ev.event_id""",
     "article",
@@ -154,7 +154,7 @@ FROM ev LEFT JOIN sm ON sm.doc_id = ev.event_id""",
 def backfill_summaries(spark, sf_dir):
     from hearsay.plans.backfill import backfill_summaries as run
 
-    stored = events_to_fill(spark, sf_dir).select("event_id", "ids", "event_summary")
+    stored = events_to_fill(spark, sf_dir).select("event_id", "page", "ids", "event_summary")
     return run(stored, fx.article(spark, sf_dir).select("id", "content"), marks=labels.SENTENCE_MARKS)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hearsay import labels
 from hearsay.functions.arrays import multiset
 from hearsay.operators import (
-    components, density, events, leaders, lexicon, linkage, listing, projections, ranking, scoring, similarity, tasks, text,
+    components, density, events, leaders, lexicon, linkage, listing, projections, ranking, reports, scoring, similarity, tasks, text,
 )
 
 NEG, POS = labels.NEGATIVE, labels.POSITIVE
@@ -93,12 +93,44 @@ def test_sections_are_nested(spark):
     assert {tuple(r) for r in got} == {(1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (3, 3)}
 
 
-def test_large_groups_have_no_cell_but_all_pages(spark):
-    rows = spark.range(25).select(F.lit(1).alias("g"), "id").unionByName(spark.range(3).select(F.lit(2).alias("g"), "id"))
-    small = listing.listable(rows, ["g"], 10).groupBy("g").agg(listing.ids_text().alias("ids")).collect()
-    assert [tuple(r) for r in small] == [(2, "0,1,2")]
-    pages = listing.id_pages(rows, ["g"], 10).filter("g = 1").orderBy("page").collect()
-    assert ",".join(p["ids"] for p in pages) == ",".join(map(str, range(25)))
+def test_pages_hold_every_id_of_every_group(spark):
+    rows = spark.range(0, 25_000, 1000).select(F.lit(1).alias("g"), "id").unionByName(spark.range(3).select(F.lit(None).cast("int").alias("g"), "id"))
+    assert [(r["g"], r["page"], r["n"], r["ids"]) for r in listing.id_pages(rows, ["g"]).orderBy("g").collect()] == [
+        (None, 0, 3, "0,1,2"), (1, 0, 25, ",".join(str(i * 1000) for i in range(25)))]
+    pages = listing.id_pages(rows, ["g"], 10).filter("g = 1").collect()
+    found = [int(i) for p in pages for i in p["ids"].split(",")]
+    assert sorted(found) == [i * 1000 for i in range(25)] and {p["page"] for p in pages} == {0, 1, 2}
+    assert all(p["ids"].split(",") == sorted(p["ids"].split(","), key=int) and p["n"] == 25 for p in pages)
+
+
+def _event_tables(spark, page_size):
+    """Alerts, memberships, evidence and summaries' articles of two events, by pages of a size."""
+    rows = spark.createDataFrame(
+        [(7, 1 + i % 2, 1, i, 100 + i, 104 if i % 2 else 0, labels.NEGATIVE if i % 3 else labels.POSITIVE, f"p{i % 4}") for i in range(23)],
+        "real_id long, event_id long, section int, id long, publish_ms long, last_test long, appraise string, present string",
+    ).withColumn("publish_ts", F.timestamp_millis("publish_ms")).withColumn("use", F.lit(labels.DESCRIPTOR))
+    newness = events.event_newness(rows, events.KEYS, page_size)
+    history = newness.withColumn("risk_value", F.lit(5.0)).withColumn("event_order", F.col("event_id"))
+    alerts = events.event_alert(newness.withColumn("risk_value", F.lit(20.0)), history.filter("event_id = 2"))
+    pages = alerts.groupBy("event_id", "is_new", "new_warn", "history_risk").agg(
+        F.sort_array(F.flatten(F.collect_list(F.split("new_ids", ",")))).alias("ids"))
+    alerted = {r["event_id"]: (r["is_new"], r["new_warn"], r["history_risk"], sorted(i for i in r["ids"] if i)) for r in pages.collect()}
+    members = {(r["id"], r["event_id"]) for r in events.event_membership(rows.select("real_id", "id"), history).collect()}
+    heads = {(r["event_id"], r["id"]) for r in events.event_representative(newness, rows.select("id")).collect()}
+    shown = {}
+    for r in reports.evidence_listing(rows, ["real_id"], page_size).collect():
+        for entry in r["present_words"].split(";"):
+            head, ids = entry.split("|")
+            shown.setdefault(head, []).extend(ids.split(","))
+    overview = reports.event_overview(alerts.withColumn("event_appraise", F.lit(labels.NEGATIVE)).withColumn("label", F.lit("F1")), ["real_id", "section"])
+    return alerted, members, heads, {k: sorted(v) for k, v in shown.items()}, [tuple(r) for r in overview.collect()], newness.count()
+
+
+def test_alerts_members_and_evidence_do_not_depend_on_the_page_size(spark):
+    small, large = _event_tables(spark, 2), _event_tables(spark, 100_000)
+    assert small[:-1] == large[:-1]
+    assert small[-1] > large[-1] == 2
+    assert len(small[1]) == 23 and small[2] == {(1, 22), (2, 21)}
 
 
 def test_event_alert_without_history_is_new(spark):
