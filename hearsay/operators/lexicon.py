@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from hearsay.operators.projections import unit_weight
 
 ENTRY = ["word", "first_level", "second_level"]
-NEGATIVE = ["first_level", "second_level", "cal_score", "cal_limit", "cal_num", "cal_num_limit", "result_influence_weight"]
+NEGATIVE = [
+    "first_level", "second_level", "cal_level", "cal_score", "cal_limit", "cal_num", "cal_num_limit", "result_influence_weight",
+]
 POSITIVE = ["first_level", "second_level", "single_weight"]
 SHOWN = ["present", "use", "appraise"]
 

@@ -70,6 +70,7 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("t"), k % 23).alias("present"),
             F.concat(F.lit("F"), (k % 11) % 4).alias("first_level"),
             F.concat(F.lit("S"), k % 11).alias("second_level"),
+            F.concat(F.lit("L"), k % 3).alias("cal_level"),
             ((1 + k % 7) * 6.0).alias("cal_score"),
             F.lit(2).alias("cal_num"),
             F.lit(5.0).alias("cal_num_limit"),
@@ -234,7 +235,7 @@ SELECT event_id AS id, user_id AS real_id, user_id AS search_id, ts AS publish_t
 FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)""",
     "lexicon": f"""
 SELECT word_key, 'w' || word_key AS word, 't' || (word_key % 23) AS present,
-  'F' || ((word_key % 11) % 4) AS first_level, 'S' || (word_key % 11) AS second_level,
+  'F' || ((word_key % 11) % 4) AS first_level, 'S' || (word_key % 11) AS second_level, 'L' || (word_key % 3) AS cal_level,
   CAST((1 + word_key % 7) * 6 AS DOUBLE) AS cal_score, 2 AS cal_num,
   CAST(5 AS DOUBLE) AS cal_num_limit, CAST(80 AS DOUBLE) AS cal_limit, CAST(1 AS DOUBLE) AS weight,
   CASE WHEN word_key % 3 = 0 THEN '{labels.DESCRIPTOR}' WHEN word_key % 3 = 1 THEN '{labels.EVENT_WORD}'

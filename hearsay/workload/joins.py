@@ -23,7 +23,7 @@ def lexicon_tables(spark, sf_dir):
     levels = ["first_level", "second_level"]
     negative = (
         entry.filter(k % 7 != 0)
-        .groupBy(*levels, "cal_score", "cal_limit", "cal_num", "cal_num_limit", "result_influence_weight")
+        .groupBy(*levels, "cal_level", "cal_score", "cal_limit", "cal_num", "cal_num_limit", "result_influence_weight")
         .agg(F.array_join(F.sort_array(F.collect_list("word")), ";").alias("cal_words"))
     )
     positive = (
@@ -45,6 +45,7 @@ def lexicon_tables(spark, sf_dir):
     f"""SELECT l.word, l.present, l.use,
   CASE WHEN floor(word_key / 2) % 2 = 0 THEN '{labels.NEGATIVE}' ELSE '{labels.POSITIVE}' END AS appraise,
   l.first_level, l.second_level,
+  CASE WHEN word_key % 7 <> 0 THEN cal_level END AS cal_level,
   CASE WHEN word_key % 7 <> 0 THEN cal_score END AS cal_score,
   CASE WHEN word_key % 7 <> 0 THEN weight END AS weight,
   CASE WHEN word_key % 11 <> 0 THEN single_weight END AS single_weight
@@ -54,7 +55,7 @@ FROM lexicon l WHERE word_key % 13 <> 0 AND (word_key % 7 <> 0 OR word_key % 11
 def build_lexicon(spark, sf_dir):
     built = lexicon.build_lexicon(*lexicon_tables(spark, sf_dir))
     return built.select(
-        "word", "present", "use", "appraise", "first_level", "second_level", "cal_score", "weight", "single_weight"
+        "word", "present", "use", "appraise", "first_level", "second_level", "cal_level", "cal_score", "weight", "single_weight"
     )
 
 

@@ -108,7 +108,7 @@ def appraised_only(spark, sf_dir):
 
 
 EVIDENCE_FIELDS = (
-    "word present use appraise first_level second_level cal_score cal_limit cal_num cal_num_limit "
+    "word present use appraise first_level second_level cal_level cal_score cal_limit cal_num cal_num_limit "
     "result_influence_weight weight single_weight"
 ).split()
 
