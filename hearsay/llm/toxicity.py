@@ -8,8 +8,9 @@ the test part, with the labelled counts as prior. Voters that fire together more
 explain are correlated; their votes are discounted. The posterior labels of the model train a logistic
 regression over the voters and weaker words, which scores any text.
 
-Texts are read twice: the labelled ones to count words, and all of them to find their features. What comes
-to the driver is bounded by ``max_features`` and ``max_patterns``.
+Texts are read twice: the labelled ones to count words, and all of them to find their features. The rounds
+read a table of the different sets of features with their counts, every one of them; only sums over it come
+to the driver, which are bounded by the square of ``max_features``.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearsay.workspace import Rounds
+from hearsay.workspace import Rounds, by_key
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 VOTER, FEATURE = 0.6, 0.3
 MIN_TEXTS = 4
 ROUNDS = 20
+CHUNK = 4096
 
 
 def features_of(text: str | None) -> set[str]:
@@ -88,57 +90,124 @@ class LabelModel:
         odds = np.where(silent, odds + np.log(self.none[0] / self.none[1]), odds)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
-    def correlate(self, votes: np.ndarray, count: np.ndarray) -> None:
+    def correlate(self, share: float, together: np.ndarray) -> None:
         """How much more often than their rates explain each pair of voters fires together."""
-        together = (votes * count[:, None]).T @ votes / count.sum()
-        q = self.posterior(votes)
-        share = (q * count).sum() / count.sum()
         expected = share * np.outer(self.rates[0], self.rates[0]) + (1 - share) * np.outer(self.rates[1], self.rates[1])
         single = np.sqrt(np.outer(np.diag(together), np.diag(together))) + 1e-12
         excess = np.clip((together - expected) / single, 0, 1)
         np.fill_diagonal(excess, 0)
         self.excess = np.where(excess < 0.1, 0, excess)
 
-    def fit(self, votes: np.ndarray, count: np.ndarray) -> None:
-        silent = votes.sum(axis=1) == 0
-        for _ in range(ROUNDS):
-            self.correlate(votes, count)
-            q = np.stack([self.posterior(votes), 1 - self.posterior(votes)]) * count
-            texts = q.sum(axis=1) + self.prior_texts
-            self.rates = np.clip((q @ votes + self.prior_hits + 0.5) / (texts[:, None] + 1), 1e-6, 1 - 1e-6)
-            self.share = float(np.clip(texts[0] / texts.sum(), 1e-3, 1 - 1e-3))
-            self.none = np.clip((q[:, silent].sum(axis=1) + 0.5) / (q.sum(axis=1) + 1), 1e-3, 1 - 1e-3)
-
-
-def logistic(x: np.ndarray, y: np.ndarray, count: np.ndarray, ridge: float = 1.0, rounds: int = 40):
-    """(weights, bias) of a logistic regression on soft labels, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
+    def fit(self, patterns: DataFrame) -> None:
+        """Expectation maximisation over all rows of ``patterns`` (found, n), whose features are the voters."""
+        size = len(self.rates[0])
+
+        def fixed(votes, count, _):
+            silent = votes.sum(axis=1) == 0
+            together = (votes * count[:, None]).T @ votes
+            return np.concatenate([[count.sum(), count[silent].sum()], together.ravel()])
+
+        def expected(votes, count, _):
+            q = self.posterior(votes) * count
+            return np.concatenate([[q.sum(), q[votes.sum(axis=1) == 0].sum()], q @ votes])
+
+        once = totals(patterns, size, 2 + size * size, fixed)
+        texts, silent, together = once[0], once[1], once[2:].reshape(size, size)
+        for _ in range(ROUNDS if texts else 0):
+            self.correlate(totals(patterns, size, 2 + size, expected)[0] / texts, together / texts)
+            found = totals(patterns, size, 2 + size, expected)
+            toxic = np.array([found[0], texts - found[0]])
+            quiet = np.array([found[1], silent - found[1]])
+            fired = np.stack([found[2:], np.diag(together) - found[2:]])
+            both = toxic + self.prior_texts
+            self.rates = np.clip((fired + self.prior_hits + 0.5) / (both[:, None] + 1), 1e-6, 1 - 1e-6)
+            self.share = float(np.clip(both[0] / both.sum(), 1e-3, 1 - 1e-3))
+            self.none = np.clip((quiet + 0.5) / (toxic + 1), 1e-3, 1 - 1e-3)
+
+
+def _matrix(found: pa.ListArray, size: int) -> np.ndarray:
+    x = np.zeros((len(found), size))
+    offsets = found.offsets.to_numpy()
+    x[np.repeat(np.arange(len(found)), np.diff(offsets)), found.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]] = 1
+    return x
+
+
+def totals(patterns: DataFrame, size: int, length: int, statistics) -> np.ndarray:
+    """The sum of ``statistics(x, count, labels)``, a vector of ``length``, over all rows of ``patterns``.
+
+    Each task adds up its rows in chunks and sends the sums that are not 0; Spark adds those of the tasks.
+    """
+
+    def add(batches):
+        total = np.zeros(length)
+        for batch in batches:
+            for low in range(0, batch.num_rows, CHUNK):
+                rows = batch.slice(low, CHUNK)
+                count = rows.column("n").to_numpy().astype(float)
+                labels = rows.column("label").to_numpy() if "label" in rows.schema.names else None
+                total += statistics(_matrix(rows.column("found"), size), count, labels)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["at", "value"])
+
+    sums = patterns.mapInArrow(add, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    found = np.zeros(length)
+    found[sums.column("at").to_numpy()] = sums.column("value").to_numpy()
+    return found
+
+
+def logistic(patterns: DataFrame, size: int, ridge: float = 1.0, rounds: int = 40):
+    """(weights, bias) of a logistic regression on the soft labels of all rows (found, n, label), by Newton steps."""
+    w = np.zeros(size + 1)
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
-    for _ in range(rounds):
+    upper = np.triu_indices(len(w))
+
+    def derivatives(x, count, labels):
+        x = np.hstack([x, np.ones((len(x), 1))])
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (count * (p - y)) + penalty * w
-        hessian = (x * (count * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(hessian, gradient)
-        w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+        hessian = (x * (count * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x
+        return np.concatenate([x.T @ (count * (p - labels)), hessian[upper]])
+
+    for _ in range(rounds):
+        found = totals(patterns, size, len(w) + len(upper[0]), derivatives)
+        half = np.zeros((len(w), len(w)))
+        half[upper] = found[len(w) :]
+        hessian = half + np.triu(half, 1).T + np.diag(penalty)
+        step = np.linalg.solve(hessian, found[: len(w)] + penalty * w)
+        w = w - step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:
             break
     return w[:-1], w[-1]
 
 
-def _matrix(rows, size: int) -> np.ndarray:
-    x = np.zeros((len(rows), size))
-    for i, found in enumerate(rows):
-        x[i, found] = 1
-    return x
+def learn(found: DataFrame, chosen: list, toxic: int, clean: int, work: Rounds):
+    """(weights, bias) from the sets of features ``found`` in texts; the rows of equal sets are counted first."""
+    patterns = found.groupBy("found").agg(F.count(F.lit(1)).alias("n"))
+    patterns = work.write(by_key(patterns, "found"), "patterns")
+    voters = [i for i, f in enumerate(chosen) if f[3] >= VOTER]
+    number = np.full(len(chosen), -1)
+    number[voters] = np.arange(len(voters))
+    numbers = F.array(*[F.lit(int(i)) for i in number]).cast("array<int>")
+    votes = F.filter(F.transform("found", lambda i: F.get(numbers, i)), lambda i: i >= 0)
+    votes = patterns.groupBy(votes.alias("found")).agg(F.sum("n").alias("n"))
+    model = LabelModel([chosen[i] for i in voters], toxic, clean)
+    model.fit(work.write(by_key(votes, "found"), "votes"))
+
+    def label(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, CHUNK):
+                rows = batch.slice(low, CHUNK)
+                labels = model.posterior(_matrix(rows.column("found"), len(chosen))[:, voters])
+                yield pa.RecordBatch.from_arrays([rows.column("found"), rows.column("n"), pa.array(labels)], names=["found", "n", "label"])
+
+    labelled = work.write(patterns.mapInArrow(label, "found array<int>, n long, label double"), "labelled")
+    return logistic(labelled, len(chosen))
 
 
 def toxicity(
     docs: DataFrame,
     train: DataFrame,
     max_features: int = 512,
-    max_patterns: int = 4096,
     id_col: str = "doc_id",
     text_col: str = "text",
     test_col: str = "held_out",
@@ -146,8 +215,7 @@ def toxicity(
     """Per row of ``docs``: (id, held_out, score).
 
     ``train`` has the labelled rows (text, label); rows of ``docs`` that are held out play no part in
-    learning. The regression sees at most ``max_patterns`` different sets of features, the most frequent
-    ones. A null or empty text scores as a text in which nothing fires. Without labelled rows of both kinds
+    learning; the model and the regression see all the others. A null or empty text scores as a text in which nothing fires. Without labelled rows of both kinds
     every text scores the share of toxic labels, or 0 without labels.
     """
     work = Rounds(docs.sparkSession, "toxicity")
@@ -167,13 +235,7 @@ def toxicity(
     found = work.write(rows.mapInArrow(find, f"id {kind}, held_out boolean, found array<int>"), "found")
     weights, bias = np.zeros(len(chosen)), (-30.0 if not toxic else float(np.log(toxic / max(total - toxic, 1e-9))))
     if chosen:
-        patterns = found.filter(~F.col("held_out")).groupBy("found").agg(F.count(F.lit(1)).alias("n"))
-        common = patterns.orderBy(F.desc("n"), F.hash("found")).limit(max_patterns).collect()
-        x, count = _matrix([r["found"] for r in common], len(chosen)), np.array([r["n"] for r in common], dtype=float)
-        voters = [i for i, f in enumerate(chosen) if f[3] >= VOTER]
-        model = LabelModel([chosen[i] for i in voters], toxic, total - toxic)
-        model.fit(x[:, voters], count)
-        weights, bias = logistic(x, model.posterior(x[:, voters]), count)
+        weights, bias = learn(found.filter(~F.col("held_out")).select("found"), chosen, toxic, total - toxic, work)
 
     def score(batches):
         for batch in batches:

@@ -355,6 +355,34 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(none) == len(rows) and all(r["score"] < 1e-6 for r in none)
 
 
+def test_toxicity_learns_from_rare_patterns(spark):
+    """``zorkel`` fires only in sets of features that occur once, behind more than 4,096 that occur twice."""
+    weak = [f"{a}{b}{c}" for a, b, c in itertools.islice(itertools.product("bdg", "aeo", "kmn"), 14)]
+    sets = [[w for j, w in enumerate(weak) if k >> j & 1] for k in range(1, 1 << 13)]
+    rows = [(" ".join(s), None) for s in sets for _ in range(2)]
+    rows += [(" ".join([*weak[13:], *s, "zorkel"]), None) for s in sets[::40]]
+    rows += [(f"zorkel {w}", 1) for w in weak] + [(w, i % 5 < 3) for i, w in enumerate(weak * 20)] + [("plain", 0)] * 200
+    rows = [(i, t, None if y is None else int(y), False) for i, (t, y) in enumerate(rows)]
+    rows += [(-1, "zorkel", None, True), (-2, "plain", None, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int, held_out boolean")
+    scored = toxicity.toxicity(docs, docs.filter("label is not null"))
+    found = {r["doc_id"]: r["score"] for r in scored.filter("doc_id < 0").collect()}
+    assert found[-1] > found[-2] + 0.3
+
+
+def test_toxicity_totals_match_a_plain_sum(spark):
+    rng = random.Random(8)
+    rows = [(sorted(rng.sample(range(6), rng.randrange(0, 5))), rng.randrange(1, 5), rng.random()) for _ in range(300)]
+    table_ = spark.createDataFrame(rows, "found array<int>, n long, label double").repartition(5)
+    x = np.array([[float(j in f) for j in range(6)] for f, _, _ in rows])
+    n, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    found = toxicity.totals(table_, 6, 42, lambda x, n, y: np.concatenate([(n * y) @ x, ((x * n[:, None]).T @ x).ravel()]))
+    assert np.allclose(found, np.concatenate([(n * y) @ x, ((x * n[:, None]).T @ x).ravel()]))
+    w, bias = toxicity.logistic(table_, 6)
+    p = 1 / (1 + np.exp(-(x @ w + bias)))
+    assert np.allclose(x.T @ (n * (p - y)) + w, 0, atol=1e-4) and abs((n * (p - y)).sum()) < 1e-3
+
+
 @pytest.mark.parametrize("run", [
     lambda d: repeated_words.repeated_words(d), lambda d: repeated_bytes.repeated_bytes(d), lambda d: jaccard_join.jaccard_join(d),
     lambda d: exact_dedup.exact_dedup(d), lambda d: secrets.secret_scan(d), lambda d: decontaminate.decontaminate(d, d.select(F.col("doc_id").alias("item_id"), "text")),
