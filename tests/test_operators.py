@@ -12,6 +12,7 @@ from hearsay.functions.arrays import multiset
 from hearsay.operators import (
     components, density, events, leaders, lexicon, linkage, listing, projections, ranking, reports, scoring, similarity, tasks, text,
 )
+from hearsay.workload import clusters
 
 NEG, POS = labels.NEGATIVE, labels.POSITIVE
 
@@ -226,6 +227,16 @@ def test_copy_ratio_clusters_equal_brute_force(spark, min_points, block):
     assert len(got) == len(rows)
 
 
+def test_titles_by_characters_cluster_at_the_reference_threshold(spark, tmp_path):
+    """Pairs of titles at up to 0.56 are linked, as in CopyRatioClustering of the reference."""
+    titles = ["abcdefghij", "abcdexyzuv", "xyzuvklmno", "0123456789", "0123456wrt", "ABCD", "ABCDEFGHIJ", "abcdefghij"]
+    rows = [(i, t + "\nbody", "en") for i, t in enumerate(titles)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["id"]: (r["cluster_id"], r["type"]) for r in clusters.copy_ratio_characters(spark, str(tmp_path)).collect()}
+    assert got == brute_dbscan([(i, list(t)) for i, t in enumerate(titles)], ratio, 0.56, 1)
+    assert got[0] == got[1] == got[2] and got[3] == got[4] and got[5] != got[6]
+
+
 @pytest.mark.parametrize("min_points, block", [(1, 512), (3, 6)])
 def test_word_clusters_equal_brute_force(spark, min_points, block):
     rows = texts(random.Random(20 + block), 80)
