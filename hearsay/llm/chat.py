@@ -7,16 +7,19 @@ merged into the turn before, or after an inserted empty turn. The dynamic progra
 least total cost.
 
 A turn is a 4 x 4 matrix of costs between states, and conversations are min-plus products of them. Products
-can be grouped freely, so a conversation is cut into blocks of ``block_turns`` turn numbers: each block gives
+can be grouped freely, so a conversation is cut into blocks of at most ``block_turns`` rows: each block gives
 one matrix, the blocks of a conversation are joined from matrices, and each block then finds its own choices
-between known states. All of this reads role numbers only; texts are shuffled once, to the choices of their
-block, and rendered there. No row holds more than one block's turns, however long a conversation is.
+between known states. Blocks are cut by position: the turns are divided into ranges of their whole order and
+sorted there, and a block is a run of rows of one conversation within a range. So no row holds more than one
+block's turns, however long a conversation is and however many rows share a turn number or have none.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,7 +94,30 @@ def choose(roles: list[int], first: int, last: int) -> list[int]:
 
 
 CONVERSATION = ["conv0", "no_conv"]
-BLOCK = [*CONVERSATION, "block0", "no_block"]
+BLOCK = [*CONVERSATION, "range", "block0"]
+ORDER = [*CONVERSATION, "dated", "turn0", "code", "text"]
+
+
+def _cut(block_turns: int):
+    """Numbers the rows of each conversation in a sorted partition, and the blocks they fall into."""
+
+    def number(batches):
+        last, at, part = None, 0, TaskContext.get().partitionId()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            conv, none = batch.column("conv0").to_numpy(), batch.column("no_conv").to_numpy(zero_copy_only=False)
+            new = np.append(True, (conv[1:] != conv[:-1]) | (none[1:] != none[:-1]))
+            heads = np.flatnonzero(new)
+            begin = heads[np.cumsum(new) - 1]
+            place = np.arange(len(conv)) - begin
+            if last == (conv[0], none[0]):
+                place[begin == 0] += at
+            last, at = (conv[-1], none[-1]), int(place[-1]) + 1
+            columns = [pa.array(np.full(len(conv), part, dtype=np.int32)), pa.array(place // block_turns), pa.array(place)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "range", "block0", "place"])
+
+    return number
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -106,11 +132,11 @@ def _matrix(codes: pd.Series) -> pd.Series:
     return pd.Series(found, dtype=object)
 
 
-@F.pandas_udf(T.StructType().add("states", T.ArrayType(T.IntegerType())).add("total", T.DoubleType()))
-def _states(matrices: pd.Series) -> pd.DataFrame:
-    """The states before, between and after the blocks of each conversation on its cheapest way."""
+@F.pandas_udf(T.StructType().add("states", T.ArrayType(T.IntegerType())).add("total", T.DoubleType()).add("begins", T.ArrayType(T.LongType())))
+def _states(matrices: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+    """The states before, between and after the blocks of each conversation on its cheapest way, and their first rows."""
     found = []
-    for flat in matrices:
+    for flat, size in zip(matrices, sizes):
         steps = np.asarray(flat).reshape(-1, 4, 4)
         costs = [np.array([0.0, INF, INF, INF])]
         for m in steps:
@@ -120,8 +146,8 @@ def _states(matrices: pd.Series) -> pd.DataFrame:
         for at in range(len(steps) - 1, -1, -1):
             state = int(np.argmin(costs[at] + steps[at][:, state]))
             states.append(state)
-        found.append((states[::-1], total))
-    return pd.DataFrame(found, columns=["states", "total"])
+        found.append((states[::-1], total, np.append(0, np.cumsum(size)[:-1])))
+    return pd.DataFrame(found, columns=["states", "total", "begins"])
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -175,12 +201,12 @@ def repair_chats(
 
     In the order of (turn, part, piece) the ``rendered`` texts of a conversation join to its chat: a piece
     that ``opens`` a turn closes the one before, a merged piece continues it on a new line. ``turn`` is the
-    number of the given turn (inserted turns have that of the turn they stand by), ``part`` numbers rows of
-    equal turn number in the order of role and text. ``cost`` is the least cost of the conversation.
+    number of the given turn (inserted turns have that of the turn they stand by), ``part`` the place
+    of the given row in the order of turn, role and text of its conversation. ``cost`` is the least cost of the conversation.
 
     Null turn numbers come first. A role in other case or with blanks around is read as the role; any other
     and a null role is relabelled. A null text is empty. A null conversation is one conversation. Repeated
-    rows are turns of their own. Rows of one conversation and turn number have to fit in a task.
+    rows are turns of their own.
     """
     work = Rounds(turns.sparkSession, "chat")
     role = F.lower(F.trim(F.col(role_col)))
@@ -188,38 +214,43 @@ def repair_chats(
     for name, number in ROLES.items():
         code = F.when(role == name, number).otherwise(code)
     conv, turn = F.col(conv_col).cast("long"), F.col(turn_col).cast("long")
-    block = F.floor(F.col(turn_col) / block_turns).cast("long")
     # keys without nulls: the texts are grouped and joined by them in one shuffle
     given = turns.select(
         F.coalesce(conv, F.lit(0)).alias("conv0"), conv.isNull().alias("no_conv"),
-        F.coalesce(block, F.lit(0)).alias("block0"), block.isNull().alias("no_block"),
-        turn.alias("turn"), code.cast("int").alias("code"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        turn.isNotNull().alias("dated"), F.coalesce(turn, F.lit(0)).alias("turn0"), turn.alias("turn"),
+        code.cast("int").alias("code"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    ordered = F.sort_array(F.collect_list(F.struct("turn", "code")))
+    ranges = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.xxhash64("text", F.rand(7))  # equal rows are dealt to several ranges too
+    given = given.withColumn("salt", salt).repartitionByRange(ranges, *ORDER, "salt").sortWithinPartitions(*ORDER, "salt")
+    schema = T.StructType(list(given.schema.fields))
+    schema = schema.add("range", T.IntegerType()).add("block0", T.LongType()).add("place", T.LongType())
+    given = work.write(given.mapInArrow(_cut(block_turns), schema), "turns")
+    ordered = F.sort_array(F.collect_list(F.struct("place", "code")))
     coded = given.groupBy(*BLOCK).agg(F.transform(ordered, lambda t: t["code"]).alias("codes"))
     coded = work.write(coded.withColumn("cost", _matrix("codes")), "blocks")
 
-    steps = F.sort_array(F.collect_list(F.struct((~F.col("no_block")).alias("dated"), "block0", "cost")))
+    steps = F.sort_array(F.collect_list(F.struct("range", "block0", "cost", F.size("codes").alias("n"))))
     ways = coded.groupBy(*CONVERSATION).agg(steps.alias("steps"))
-    ways = ways.withColumn("way", _states(F.flatten(F.transform("steps", lambda s: s["cost"]))))
+    ways = ways.withColumn("way", _states(F.flatten(F.transform("steps", lambda s: s["cost"])), F.transform("steps", lambda s: s["n"])))
     places = ways.select(*CONVERSATION, "way", F.posexplode("steps").alias("at", "step")).select(
-        *CONVERSATION, F.col("step.block0").alias("block0"), (~F.col("step.dated")).alias("no_block"),
+        *CONVERSATION, F.col("step.range").alias("range"), F.col("step.block0").alias("block0"),
         F.get("way.states", F.col("at")).alias("before"), F.get("way.states", F.col("at") + 1).alias("after"),
         (F.col("at") == 0).alias("initial"), (F.col("at") == F.size("way.states") - 2).alias("final"),
-        F.col("way.total").alias("cost"),
+        F.col("way.total").alias("cost"), F.get("way.begins", F.col("at")).alias("begin"),
     )
     choices = coded.drop("cost").join(places, BLOCK).withColumn("options", _picked("codes", "before", "after"))
     choices = work.write(choices.drop("codes", "before"), "choices")
 
-    texts = given.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(F.struct("turn", "code", "text"))).alias("turns"))
+    texts = given.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(F.struct("place", "turn", "code", "text"))).alias("turns"))
     placed = texts.join(choices, BLOCK).select(
-        F.when(~F.col("no_conv"), F.col("conv0")).alias("conv"), "initial", "after", "cost", "options",
+        F.when(~F.col("no_conv"), F.col("conv0")).alias("conv"), "initial", "after", "cost", "options", "begin",
         F.col("final").alias("final"), F.size("turns").alias("n"), F.posexplode("turns").alias("part", "given"),
     )
     placed = placed.withColumn("option", F.get("options", F.col("part"))).drop("options")
     placed = placed.withColumn("closes", F.col("final") & (F.col("part") == F.col("n") - 1))
     pieces = placed.select(
-        "conv", "initial", "cost", F.col("given.turn").alias("turn"), F.col("part").cast("long").alias("part"),
+        "conv", "initial", "cost", F.col("given.turn").alias("turn"), (F.col("begin") + F.col("part")).alias("part"),
         F.posexplode(_pieces()).alias("nth", "p"),
     )
     very_first = F.col("initial") & (F.col("part") == 0) & (F.col("nth") == 0)

@@ -309,6 +309,31 @@ def test_chat_repair(spark, block):
     assert chat.repair_chats(given.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("turn", [None, 3])
+def test_chat_blocks_are_cut_by_rows(spark, monkeypatch, turn):
+    """Rows without a conversation and of one turn number, many of them equal, fall into blocks of few rows."""
+    blocks, write = [], chat.Rounds.write
+
+    def watch(work, df, name):
+        written = write(work, df, name)
+        if name == "blocks":
+            blocks.extend(r[0] for r in written.select(F.size("codes")).collect())
+        return written
+
+    monkeypatch.setattr(chat.Rounds, "write", watch)
+    rng = random.Random(13)
+    rows = [(None, turn, rng.choice(["user", "assistant", "tool"]), rng.choice(["a", "b", None])) for _ in range(600)]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = sorted(chat.repair_chats(given, block_turns=16).collect(), key=lambda r: (r["part"], r["piece"]))
+    assert max(blocks) <= 16 and sum(blocks) == len(rows)
+    order = sorted((chat.ROLES.get(r, -1), t or "") for _, _, r, t in rows)
+    assert found[0]["cost"] == brute_cost([c for c, _ in order])
+    assert legal([r["role"] for r in found if r["opens"]])
+    own = [r for r in found if r["action"] != "insert"]
+    assert [r["part"] for r in own] == list(range(len(rows)))
+    assert [r["rendered"].rpartition("\n")[2] for r in own] == [t for _, t in order]
+
+
 def test_language(spark):
     alphabets = {"aa": "abcde", "bb": "defgh", "cc": "αβγδε"}
     rng = random.Random(2)
