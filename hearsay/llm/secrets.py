@@ -27,6 +27,10 @@ ENTROPY_KINDS = [
     ("entropy_hex", r"(?<![A-Za-z0-9+/_=-])[0-9A-Fa-f]{20,}(?![A-Za-z0-9+/_=-])", "0123456789abcdefABCDEF", 3.0),
     ("entropy_base64", r"(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/_=-]*[A-Z])(?=[A-Z0-9+/_=-]*[a-z])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}",
      "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=-_", 3.8),
+    # two of upper-case letters, lower-case letters and digits; runs of all three are above
+    ("entropy_key", r"(?<![A-Za-z0-9+/_=-])(?![0-9A-Fa-f]++(?![A-Za-z0-9+/_=-]))(?:(?=[a-z+/_=-]*[0-9])(?=[0-9+/_=-]*[a-z])[a-z0-9+/_=-]{20,}+"
+     r"|(?=[A-Z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Z])[A-Z0-9+/_=-]{20,}+|(?=[a-z+/_=-]*[A-Z])(?=[A-Z+/_=-]*[a-z])[A-Za-z+/_=-]{20,}+)(?![A-Za-z0-9+/_=-])",
+     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=-_", 3.5),
 ]
 ALLOWED = (
     r"^[A-Za-z]+$"  # a word, however long

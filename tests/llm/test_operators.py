@@ -223,6 +223,17 @@ def test_secret_scan(spark):
     assert found[7] and not found[11] and not found[13]
 
 
+def test_secret_scan_of_two_classes(spark):
+    keys = ["q7x9f2kz8m4w1b6n3v5t0j", "Q7X9F2KZ8M4W1B6N3V5T0J", "qXfZkMwBnVtJ+pRsGhLyCd", "k3+9zt7w=q1m5x8v2b6n4/"]
+    ordinary = ["zzzzzzzzzzzzzzzzzzzzzzzz1", "internationalization", "SOME_LONG_CONSTANT_NAME_2", "usr/local/lib2/python3/site", "some-long-page-name-2024"]
+    rows = list(enumerate([f"é use {k}, then" for k in keys] + ordinary + ["0a1b2c3d4e5f6a7b8c9d0e", "aB3dE5gH7jK9mN1pQ2rS4tU6"]))
+    found = {r["doc_id"]: [tuple(x) for x in r["findings"]] for r in secrets.secret_scan(table(spark, rows)).collect()}
+    for i, key in enumerate(keys):
+        assert found[i] == [(6, 5, "entropy_key", 6 + len(key))], key
+    assert not any(found[len(keys) + i] for i in range(len(ordinary)))
+    assert [[f[2] for f in found[i]] for i in (9, 10)] == [["entropy_hex"], ["entropy_base64"]]
+
+
 def test_mixing(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 40)), "en", rng.choice(["a"] * 20 + ["b"] * 4 + ["c", None]), None, 7, "", "") for i in range(600)]
