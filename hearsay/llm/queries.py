@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from hearsay.llm import mixing
 from hearsay.llm import repeated_bytes
 from hearsay.llm import repeated_words as repeats
 from hearsay.llm import secrets
+from hearsay.llm import sentencepieces
 from hearsay.llm import toxicity as toxic
 from hearsay.llm.registry import query
 
@@ -173,3 +175,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_repair_chats")
 def op9_repair_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair_chats(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_sentence_pieces")
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = sentencepieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
