@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearsay.llm import alignment
 from hearsay.llm import chat
 from hearsay.llm import decontaminate as decontamination
 from hearsay.llm import exact_dedup as exact
@@ -186,3 +187,13 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op13_align_tokens")
+def op13_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    texts, pairs = alignment.align(docs, *paths, keep=["doc_id"])
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    found = alignment.score_links(texts.withColumn("groups_sha256", digest).drop("groups"), pairs)
+    return found.select("doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
