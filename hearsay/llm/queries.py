@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,7 @@ from hearsay.llm import repeated_words as repeats
 from hearsay.llm import secrets
 from hearsay.llm import sentencepieces
 from hearsay.llm import toxicity as toxic
+from hearsay.llm import turns as structure
 from hearsay.llm.registry import query
 
 
@@ -178,6 +183,67 @@ def op9_repair_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair_chats(table(spark, sf_dir, "conversations"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conversations`` with faults: dropped, emptied, cut off, repeated and relabelled rows."""
+    rows = turns.select(
+        "conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")],
+        *[F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(f"{c}_key") for c in ("conv_id", "turn")],
+    )
+    part = F.crc32(F.concat("conv_id_key", F.lit(":"), "turn_key").cast("binary")) % 20
+    rows = rows.withColumn("part", part).filter("part <> 0")
+    text = F.when(F.col("part") == 1, "").when(F.col("part") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("part") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("part") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def chat_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Audit and hash of each conversation from its edits in order; one conversation is open at a time."""
+    conv, audit, digest, out = None, [], None, []
+
+    def close() -> None:
+        if conv is not None:
+            out.append({"no_conv": conv[0], "conv0": conv[1], "audit": "".join(audit), "repaired_sha256": digest.hexdigest()})
+
+    for batch in batches:
+        for *key, action, role, text in zip(*(batch.column(c).to_pylist() for c in ("no_conv", "conv0", "action", "role", "text"))):
+            if key != conv:
+                close()
+                conv, audit, digest, first = key, [], hashlib.sha256(), True
+            audit.append(action)
+            if action != "D":
+                digest.update((("" if first else "\n") + role + ":" + text).encode())
+                first = False
+        if out:
+            yield pa.RecordBatch.from_pylist(out)
+            out.clear()
+    close()
+    if out:
+        yield pa.RecordBatch.from_pylist(out)
+
+
+@query("op11_repair_structure")
+def op11_repair_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+def repaired_conversations(given: DataFrame) -> DataFrame:
+    """A row for each conversation given, also for those of which the damage leaves no row."""
+    turns = damaged(given)
+    summary, edits = structure.edits(turns)
+    digests = structure.apply_edits(turns, edits).mapInArrow(
+        chat_digests, "no_conv boolean, conv0 long, audit string, repaired_sha256 string"
+    ).select(F.when(~F.col("no_conv"), F.col("conv0")).alias("conv_id"), "audit", "repaired_sha256")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    kept = given.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().alias("c")
+    for name, part in (("s", summary), ("d", digests)):
+        kept = kept.join(part.alias(name), F.expr(f"c.conv_id <=> {name}.conv_id"), "left")
+    return kept.select(
+        "c.conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query("op12_sentence_pieces")
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
