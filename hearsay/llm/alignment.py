@@ -28,10 +28,10 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from hearsay.llm.interned import Interned, sums
-from hearsay.llm.sentencepieces import list_array, pieces_of, slices
+from hearsay.llm.sentencepieces import SPACE_MARK, list_array, pieces_of, slices
 from hearsay.workspace import Rounds
 
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES, SLICE_BYTES = 1 << 23, 1 << 20
 #: Word pattern of byte-level vocabularies (fixed value).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -62,16 +62,25 @@ class ByteLevel:
             self.bytes[k] = bytes(map(of_letter.__getitem__, token)) if all(c in of_letter for c in token) else token.encode()
         self.widths = np.array(list(map(len, self.bytes)), np.int64)
         self.words, self.parts = regex.compile(WORDS).findall, re.compile("(?<=[A-Za-z])(?= [A-Za-z])").split
+        # the same classes within ASCII, where white space is the same for all engines but for four separators
+        narrow = WORDS.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+        self.ascii_words, self.separators = re.compile(narrow, re.ASCII).findall, re.compile("[\x1c-\x1f]").search
         self.met: set[str] = set()
         self.odd: set[str] = set()
+        self.changed: set[str] = set()  # words whose ids do not give their bytes
         self.of_word, self.of_part = Interned(self._words), Interned(self._parts, 1_000_000)
 
     def _words(self, words: list[str]) -> list[list[int]]:
         tokenize, letters = self.library.model.tokenize, self.letters
-        return [[t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))] for w in words]
+        return self._checked(words, [[t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))] for w in words])
 
     def _parts(self, parts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch(parts, add_special_tokens=False)]
+        return self._checked(parts, [e.ids for e in self.library.encode_batch(parts, add_special_tokens=False)])
+
+    def _checked(self, words: list[str], found: list[list[int]]) -> list[list[int]]:
+        written = self.bytes.__getitem__
+        self.changed.update(w for w, ids in zip(words, found) if b"".join(map(written, ids)) != w.encode())
+        return found
 
     def _plain(self, text: str) -> bool:
         """Whether the pattern cuts the text as the library does."""
@@ -84,22 +93,30 @@ class ByteLevel:
                 self.odd.add(c)
         return not (self.odd and found & self.odd)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in a row, and the number of ids of each text."""
+    def _cut(self, text: str) -> list[str]:
+        return self.ascii_words(text) if text.isascii() and not self.separators(text) else self.words(text)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, the number of ids of each text, and whether they give its bytes."""
         plain = [self._plain(t) for t in texts]
-        cut = [self.words(t) if p else self.parts(t) for t, p in zip(texts, plain)]
+        cut = [self._cut(t) if p else self.parts(t) for t, p in zip(texts, plain)]
         if all(plain):
             ids, sizes = self.of_word([w for words in cut for w in words])
-            return ids, sums(sizes, np.array([len(words) for words in cut]))
-        found = [self.of_word(words) if p else self.of_part(words) for words, p in zip(cut, plain)]
-        return np.concatenate([f[0] for f in found]), np.array([len(f[0]) for f in found], np.int64)
+            sizes = sums(sizes, np.array([len(words) for words in cut]))
+        else:
+            found = [self.of_word(words) if p else self.of_part(words) for words, p in zip(cut, plain)]
+            ids, sizes = np.concatenate([f[0] for f in found]), np.array([len(f[0]) for f in found], np.int64)
+        same = sums(self.widths[ids], sizes) == np.array([len(t.encode()) for t in texts])
+        if self.changed:
+            same &= np.array([self.changed.isdisjoint(words) for words in cut])
+        return ids, sizes, same
 
 
 def components(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The group of each token of both sides, counted from the left; both sides end at the same bytes."""
-    n = len(a_ends)
-    to_b = np.searchsorted(b_ends, a_ends)
-    to_a = np.searchsorted(a_ends, b_ends)
+    n, size = len(a_ends), int(a_ends[-1]) + 1
+    to_b, to_a = (np.cumsum(np.bincount(ends, minlength=size)) for ends in (b_ends, a_ends))
+    to_b, to_a = to_b[a_ends - 1], to_a[b_ends - 1]  # the first token of the other side that ends there or later
     stops = a_ends[to_a] == b_ends
     successor = np.concatenate([n + to_b, np.where(stops, n + np.arange(len(b_ends)), to_a)])
     while True:
@@ -122,20 +139,14 @@ class Aligner:
         numbers = [str(k) for k in range(max(len(self.a.bytes), self.base))]
         self.more, self.bar, self.semi = (np.array([k + c for k in numbers], object) for c in ",|;")
 
-    def _same(self, table: list[bytes], ids: np.ndarray, sizes: np.ndarray, expected: list[bytes]) -> np.ndarray:
-        """Which texts have the bytes that are expected."""
-        ends = np.cumsum(sizes)
-        return np.array([
-            b"".join(map(table.__getitem__, ids[e - n : e].tolist())) == x for e, n, x in zip(ends.tolist(), sizes.tolist(), expected)
-        ])
-
     def align(self, texts: list[str]) -> dict:
         """Numbers of tokens, groups and links of each text, the groups as text, and the links as codes."""
-        a, a_n = self.a.encode([" " + t for t in texts])
-        b, b_n = self.b.encode([self.b.normalise(t)[0].decode() for t in texts])
-        expected = [b" " + t.encode() for t in texts]
-        good = self._same(self.a.bytes, a, a_n, expected) & self._same(self.b.bytes, b, b_n, expected)
-        good &= np.array([bool(t) for t in texts])
+        a, a_n, good = self.a.encode([" " + t for t in texts])
+        normal = [self.b.normalise(t)[0].decode() for t in texts]
+        b, b_n = self.b.encode(normal)
+        # pieces write the normalised text with spaces for its marks
+        good &= np.array([bool(t) and n.replace(SPACE_MARK, " ") == " " + t for t, n in zip(texts, normal)])
+        good &= sums(self.b_widths[b], b_n) == sums(self.a.widths[a], a_n)
         a, b = a[np.repeat(good, a_n)], b[np.repeat(good, b_n)]
         a_n, b_n = a_n * good, b_n * good
         a_ends, b_ends = np.cumsum(self.a.widths[a]), np.cumsum(self.b_widths[b])
@@ -150,12 +161,10 @@ class Aligner:
         out[np.arange(len(b)) + a_before[b_group]] = np.where(last_b, self.semi[b], self.more[b])
         ends = np.cumsum(a_n + b_n).tolist()
         groups = ["".join(out[i:j].tolist())[:-1] for i, j in zip([0, *ends], ends)]
-        at = np.searchsorted(a_ends, b_ends)
-        linked = a_ends[at] == b_ends
-        codes = a[at[linked]].astype(np.int64) * self.base + b[linked]
-        return {
-            "n_a": a_n, "n_b": b_n, "n_groups": sums(last_b, b_n), "n_links": sums(linked, b_n), "groups": groups, "codes": codes,
-        }
+        # both sides end together at the end of each group, and nowhere else
+        codes = a[last_a].astype(np.int64) * self.base + b[last_b]
+        n_links = sums(last_b, b_n)
+        return {"n_a": a_n, "n_b": b_n, "n_groups": n_links, "n_links": n_links, "groups": groups, "codes": codes}
 
 
 _ALIGNERS: dict[tuple, Aligner] = {}
@@ -226,7 +235,7 @@ def align(
         for batch in batches:
             types = [c.type for c in batch.columns[:-1]]
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            for begin, end in slices(texts):
+            for begin, end in slices(texts, SLICE_BYTES):
                 columns = [pa.concat_arrays([c.slice(begin, end - begin)]) for c in batch.columns[:-1]]
                 held.append((columns, aligner.align(texts[begin:end])))
                 size += sum(map(len, texts[begin:end]))

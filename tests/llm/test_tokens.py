@@ -88,7 +88,9 @@ def test_byte_level_words_equal_the_library():
     library.encode_special_tokens = True
     own = alignment.ByteLevel(open(BYTE_FILE, "rb").read())
     texts = [" " + (t or "") for t in TEXTS] + [jumble(k, 50, "ab '\n\t!1²՘֋\u200b\u0085 Ⅷ😀é") for k in range(400)]
-    ids, sizes = own.encode(texts)
+    texts += [jumble(k, 50, "".join(map(chr, range(128)))) for k in range(400)] + [jumble(k, 50, "st'vrelmd 1!\n\r") for k in range(400)]
+    ids, sizes, same = own.encode(texts)
+    assert same.all()
     parts = iter(ids.tolist())
     assert [[next(parts) for _ in range(n)] for n in sizes] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert own.odd  # characters on which the engines differ were met
