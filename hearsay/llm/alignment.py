@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,10 +29,10 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from hearsay.llm.interned import Interned, sums
-from hearsay.llm.sentencepieces import SPACE_MARK, list_array, pieces_of, slices
+from hearsay.llm.sentencepieces import SPACE_MARK, pieces_of, slices
 from hearsay.workspace import Rounds
 
-BLOCK_BYTES, SLICE_BYTES = 1 << 23, 1 << 20
+BLOCK_BYTES, SLICE_BYTES = 1 << 22, 1 << 20
 #: Word pattern of byte-level vocabularies (fixed value).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -184,12 +185,14 @@ COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 def align(
     docs: DataFrame, byte_path: str, piece_path: str, text_col: str = "text", keep: list[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
-) -> tuple[DataFrame, DataFrame]:
-    """The aligned texts and the pairs of ids that end together in their blocks.
+) -> DataFrame:
+    """The aligned texts, and a row for each block of texts with the pairs of ids that end together in it.
 
     Texts: (*keep, n_a, n_b, n_groups, n_links, groups, block, links). ``groups`` is ``a1,a2|b1;a3|b2,b3``, ids
-    of both sides group by group; ``links`` are places in the block's pairs, one for each link of the text.
-    Pairs: (block, a, b, at, n): at place ``at`` of its block a pair of ids and how many links of the block hold it.
+    of both sides group by group; ``links`` are places in the block's pairs, one for each link of the text, as
+    numbers of two bytes (four if the block has more than 65,536 pairs).
+    Blocks: only (block, pairs, counts): the distinct pairs, as a * size of side B + b, and how many links of
+    the block hold each.
 
     Side A (``byte_path``, a byte-level vocabulary) encodes a space and the text, side B (``piece_path``) the
     text, to which it adds the space. A null or empty text, and one whose bytes a side changes, has no tokens:
@@ -208,7 +211,7 @@ def align(
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in given])
     for name in COUNTS:
         schema = schema.add(name, T.LongType())
-    schema = schema.add("groups", T.StringType()).add("block", T.LongType()).add("links", T.ArrayType(T.IntegerType()))
+    schema = schema.add("groups", T.StringType()).add("block", T.LongType()).add("links", T.BinaryType())
     schema = schema.add("pairs", T.ArrayType(T.LongType())).add("counts", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,41 +220,45 @@ def align(
 
         def finished() -> Iterator[pa.RecordBatch]:
             pairs, place, counts = np.unique(np.concatenate([f["codes"] for _, f in held]), return_inverse=True, return_counts=True)
-            done = 0
+            kind = np.uint16 if len(pairs) <= 1 << 16 else np.uint32
+            place, done = place.astype(kind).tobytes(), 0
             for columns, found in held:
-                n, total = len(found["groups"]), len(found["codes"])
-                links = list_array(place[done : done + total], found["n_links"])
-                done += total
+                n = len(found["groups"])
+                ends = done + np.cumsum(found["n_links"]) * kind().itemsize
+                links = pa.array([place[i:j] for i, j in zip([done, *ends.tolist()], ends.tolist())], pa.binary())
+                done = int(ends[-1])
                 empty = pa.nulls(n, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*columns, *[pa.array(found[c]) for c in COUNTS], pa.array(found["groups"], pa.string()),
                      pa.array(np.full(n, block)), links, empty, empty], names=schema.names)
             none = [pa.nulls(1, t) for t in [*types, *[pa.int64()] * len(COUNTS), pa.string()]]
             yield pa.RecordBatch.from_arrays(
-                [*none, pa.array([block]), pa.nulls(1, pa.list_(pa.int32())), pa.array([pairs], pa.list_(pa.int64())),
+                [*none, pa.array([block]), pa.nulls(1, pa.binary()), pa.array([pairs], pa.list_(pa.int64())),
                  pa.array([counts], pa.list_(pa.int64()))], names=schema.names)
 
         types: list[pa.DataType] = []
         for batch in batches:
             types = [c.type for c in batch.columns[:-1]]
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for begin, end in slices(texts, SLICE_BYTES):
-                columns = [pa.concat_arrays([c.slice(begin, end - begin)]) for c in batch.columns[:-1]]
-                held.append((columns, aligner.align(texts[begin:end])))
-                size += sum(map(len, texts[begin:end]))
+            lengths = pc.binary_length(batch.columns[-1]).to_numpy()
+            for begin, end in slices(lengths, SLICE_BYTES):
+                *columns, texts = batch.slice(begin, end - begin).columns
+                columns = [pa.concat_arrays([c]) for c in columns]  # without the rest of the batch
+                held.append((columns, aligner.align(texts.to_pylist())))
+                size += int(lengths[begin:end].sum())
                 if size >= block_bytes:
                     yield from finished()
                     block, held, size = block + 1, [], 0
         if held:
             yield from finished()
 
-    work = Rounds(spark, "alignment")
-    texts = work.write(rows.mapInArrow(run, schema), "aligned").filter(F.col("pairs").isNull()).drop("pairs", "counts")
-    base = _aligner(files[0].value, files[1].value).base
-    blocks = spark.read.schema(schema).parquet(work.path("aligned"))
-    pairs = blocks.filter(F.col("pairs").isNotNull()).select("block", F.posexplode(F.arrays_zip("pairs", "counts")).alias("at", "p"))
-    return texts, pairs.select(
-        "block", F.expr(f"p.pairs div {base}").cast("int").alias("a"), (F.col("p.pairs") % base).cast("int").alias("b"),
+    return rows.mapInArrow(run, schema)
+
+
+def block_pairs(aligned: DataFrame, pieces: int) -> DataFrame:
+    """(block, a, b, at, n): at place ``at`` of its block a pair of ids and how many links of the block hold it."""
+    pairs = aligned.filter(F.col("pairs").isNotNull()).select("block", F.posexplode(F.arrays_zip("pairs", "counts")).alias("at", "p"))
+    return pairs.select(
+        "block", F.expr(f"p.pairs div {pieces}").cast("int").alias("a"), (F.col("p.pairs") % pieces).cast("int").alias("b"),
         "at", F.col("p.counts").alias("n"),
     )
 
@@ -263,27 +270,34 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
     return totals.join(highest, "b").select("a", "b", "count", (F.col("count") == F.col("highest")).alias("best"))
 
 
-def score_links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``texts`` without block and links, with n_best (links whose pair is the best of its B id) and count_sum."""
+def score_links(aligned: DataFrame, piece_path: str) -> DataFrame:
+    """The texts of ``align`` with n_best (links whose pair is the best of its B id) and count_sum.
+
+    Drop ``groups`` or what else is not needed before: the rows are written once and shuffled by block. The
+    columns of blocks and links go.
+    """
+    work = Rounds(aligned.sparkSession, "alignment")
+    with open(piece_path, "rb") as file:
+        size = len(pieces_of(file.read()).bytes)
+    kept = [c for c in aligned.columns if c not in ("block", "links", "pairs", "counts")]
+    texts = work.write(aligned, "aligned").filter(F.col("pairs").isNull()).drop("pairs", "counts")
+    pairs = block_pairs(aligned.sparkSession.read.schema(aligned.schema).parquet(work.path("aligned")), size)
     scored = pairs.join(pair_counts(pairs), ["a", "b"]).groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("at", "count", "best"))).alias("scored")
+        F.sort_array(F.collect_list(F.struct("at", "count", "best"))).alias("scored")  # distinct pairs of one block
     )
-    # at most one place per distinct pair of a block
     scored = scored.select("block", F.col("scored.count").alias("count"), F.transform("scored.best", lambda b: b.cast("long")).alias("best"))
-    kept = [c for c in texts.columns if c not in ("block", "links")]
     schema = T.StructType([f for f in texts.schema.fields if f.name in kept])
     schema = schema.add("n_best", T.LongType()).add("count_sum", T.LongType())
 
     def add(left: pa.Table, right: pa.Table) -> pa.Table:
-        links = left.column("links").combine_chunks()
-        if isinstance(links, pa.ChunkedArray):
-            links = pa.concat_arrays(links.chunks)
-        sizes = np.diff(links.offsets.to_numpy())
-        at = links.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        columns = [np.array(right.column(c).to_pylist()[0] if right.num_rows else [], np.int64) for c in ("best", "count")]
+        links = left.column("links").to_pylist()
+        kind = np.uint16 if len(columns[0]) <= 1 << 16 else np.uint32
+        sizes = np.array([len(x) // kind().itemsize for x in links], np.int64)
+        at = np.frombuffer(b"".join(links), kind)
         done = left.select(kept)
-        for name, source in (("n_best", "best"), ("count_sum", "count")):
-            values = right.column(source).to_pylist()[0] if right.num_rows else []
-            done = done.append_column(name, pa.array(sums(np.array(values, np.int64)[at], sizes)))
+        for name, values in zip(("n_best", "count_sum"), columns):
+            done = done.append_column(name, pa.array(sums(values[at], sizes)))
         return done
 
     return texts.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(add, schema)

@@ -259,7 +259,7 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
-    texts, pairs = alignment.align(docs, *paths, keep=["doc_id"])
+    aligned = alignment.align(docs, *paths, keep=["doc_id"])
     digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
-    found = alignment.score_links(texts.withColumn("groups_sha256", digest).drop("groups"), pairs)
+    found = alignment.score_links(aligned.withColumn("groups_sha256", digest).drop("groups"), paths[1])
     return found.select("doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")

@@ -17,7 +17,7 @@ from __future__ import annotations
 import codecs
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -196,16 +196,16 @@ def pieces_of(model: bytes) -> Pieces:
     return _MODELS[key]
 
 
-def slices(texts: list[str], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of some ``limit`` characters; a text is never divided."""
-    begin = size = 0
-    for k, text in enumerate(texts):
-        if k > begin and size + len(text) > limit:
-            yield begin, k
-            begin, size = k, 0
-        size += len(text)
-    if texts:
-        yield begin, len(texts)
+def slices(lengths: Iterable[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of some ``limit`` bytes or characters; a text is never divided."""
+    begin = end = size = 0
+    for length in lengths:
+        if end > begin and size + length > limit:
+            yield begin, end
+            begin, size = end, 0
+        end, size = end + 1, size + length
+    if end > begin:
+        yield begin, end
 
 
 def list_array(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
@@ -236,7 +236,7 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", keep:
         pieces = pieces_of(model.value)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            for begin, end in slices(texts):
+            for begin, end in slices(map(len, texts)):
                 normal = [pieces.normalise(t) for t in texts[begin:end]]
                 plain = [n.decode() for n, _ in normal]
                 ids, sizes = pieces.encode(plain)

@@ -141,8 +141,8 @@ def test_alignment(spark, block_bytes):
     texts = [t for t in TEXTS if t is None or len(t) < 10000] + ["The cat sat on the mat."] * 5
     expected = plain_alignment(texts)
     docs = table(spark, texts, "doc_id long, text string, codes string, extra long")
-    found, pairs = alignment.align(docs, BYTE_FILE, MODEL, keep=["doc_id", "codes", "extra"], block_bytes=block_bytes)
-    by_id = {r["doc_id"]: r for r in alignment.score_links(found, pairs).collect()}
+    found = alignment.align(docs, BYTE_FILE, MODEL, keep=["doc_id", "codes", "extra"], block_bytes=block_bytes)
+    by_id = {r["doc_id"]: r for r in alignment.score_links(found, MODEL).collect()}
     names = ["n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
     assert len(by_id) == len(texts)
     for k, want in enumerate(expected):
@@ -151,5 +151,5 @@ def test_alignment(spark, block_bytes):
 
 
 def test_alignment_of_an_empty_table(spark):
-    found, pairs = alignment.align(table(spark, TEXTS[:4]).limit(0), BYTE_FILE, MODEL, keep=["doc_id"])
-    assert alignment.score_links(found, pairs).collect() == []
+    found = alignment.align(table(spark, TEXTS[:4]).limit(0), BYTE_FILE, MODEL, keep=["doc_id"])
+    assert alignment.score_links(found, MODEL).collect() == []
