@@ -11,15 +11,20 @@ from hearsay import labels, schemas
 from hearsay.functions import strings, times
 
 
-def parse_mentions(messages: DataFrame, as_of: datetime | None, value: str = "value") -> DataFrame:
+def parse_mentions(
+    messages: DataFrame, as_of: datetime | None, value: str = "value", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """JSON messages to mention rows; a row that does not parse keeps its text in ``rejected``.
 
+    Columns of the messages to ``keep`` come last.
+
     ``mainBody`` may be a comma-separated string or an array; ``segments_raw`` holds either. Without
     ``as_of`` an empty creation time is the current time, in a stream that of the batch.
     """
     text = F.col(value)
     whole = F.contains(text, F.lit("}"))
     rows = messages.filter(whole).select(
+        *keep,
         text.alias("raw"),
         F.from_json(text, schemas.MENTION_TEXT_BODY).alias("m"),
         F.from_json(text, schemas.MENTION_LIST_BODY)["mainBody"].alias("body_list"),
@@ -46,6 +51,7 @@ def parse_mentions(messages: DataFrame, as_of: datetime | None, value: str = "va
         .otherwise(F.array().cast("array<string>"))
         .alias("segments_raw"),
         F.when(F.col("m.id").isNull(), F.col("raw")).alias("rejected"),
+        *keep,
     )
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def mention_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Mention messages from Kafka as one string column; lost offsets do not fail the query."""
+    """Mention messages from Kafka, with their offsets; lost offsets do not fail the query."""
     reader = spark.readStream.format("kafka").options(**{"failOnDataLoss": "false", **options})
-    return reader.load().selectExpr("CAST(value AS STRING) AS value")
+    return reader.load().selectExpr("CAST(value AS STRING) AS value", "offset")
 
 
 def task_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from hearsay import labels
+from hearsay.operators import scoring
 from hearsay.plans.matching import match_mentions
 from hearsay.operators.projections import parse_mentions
+from hearsay.sinks import store as store_module
 from hearsay.sinks import tables as sinks
+from hearsay.sinks.store import Store
 from hearsay.sources import files, streams
 from hearsay.sources.tables import date_windows
-from hearsay.streaming.match import dedup, event_time, match_stream
+from hearsay.streaming.match import dedup, event_time, last_message, match_stream
 from hearsay.streaming.analysis import analysis_stream
 from hearsay.workload import fixtures as fx
 from hearsay.workload import jobs
@@ -94,9 +97,9 @@ def test_match_stream_equals_batch_and_survives_a_restart(spark, messages, tmp_p
         writer = match_stream(source, lexicon, influence, NOW, out, checkpoint)
         writer.trigger(availableNow=True).start().awaitTermination()
     batch = match_mentions(parse_mentions(spark.read.text(messages), NOW), lexicon, influence)
-    streamed = sinks.read_batches(spark, f"{out}/mentions", ["search_id", "id"])
+    streamed = Store(spark, out).read("mentions")
     assert stored(streamed.select(*batch.mentions.columns)) == stored(batch.mentions)
-    warned = sinks.read_batches(spark, f"{out}/warnings", ["search_id", "id"])
+    warned = Store(spark, out).read("warnings")
     assert stored(warned.select(*batch.warnings.columns)) == stored(batch.warnings)
     assert batch.warnings.count() > 0
 
@@ -111,6 +114,96 @@ def test_watermarked_dedup(spark, tmp_path):
     assert spark.table("dedup_rows").count() == 1
 
 
+def messages_of(*rows):
+    """Lines of messages: (key, offset, minutes after ten, title)."""
+    line = '{"value": "%s", "offset": %d}'
+    body = '{"searchId":1,"id":%d,"title":"%s","createTime":"2024-01-01 10:%02d:00","mainBody":"a"}'
+    return "\n".join(line % ((body % (key, title, at)).replace('"', '\\"'), offset) for key, offset, at, title in rows)
+
+
+def test_last_message_by_offset_over_batches(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+    source = spark.readStream.schema("value string, offset long").option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    rows = last_message(event_time(source, NOW))
+    found = []
+    writer = rows.select("id", "title", "offset").writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint")
+    writer = writer.foreachBatch(lambda batch, _: found.extend(map(tuple, batch.collect()))).trigger(availableNow=True)
+
+    def run(name, *messages):
+        (tmp_path / "in" / name).write_text(messages_of(*messages))
+        query = writer.start()
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    assert run("a", (1, 10, 0, "old"), (2, 11, 0, "only")) == 2 and found == []
+    assert run("b", (1, 30, 1, "last")) == 2 and found == []
+    assert run("c", (1, 20, 2, "late in order")) == 2 and found == []
+    assert run("d", (3, 40, 30, "moves the watermark")) == 1
+    assert sorted(found) == [(1, "last", 30), (2, "only", 11)]
+    run("e", (1, 50, 3, "behind the watermark"))
+    assert sorted(found) == [(1, "last", 30), (2, "only", 11)]
+
+
+@pytest.fixture(scope="module")
+def requests(tmp_path_factory):
+    path = tmp_path_factory.mktemp("requests")
+    (path / "a.txt").write_text('{"realId":3,"searchId":3}\n{"realId":"140","searchId":"140"}\n')
+    return path
+
+
+def test_analysis_is_stored_and_read_by_the_next(spark, requests, tmp_path, monkeypatch):
+    """Two batches, a crash before the commit of the second, and a replay of it."""
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    days = {"now": datetime(2024, 1, 25)}
+
+    def run():
+        source = spark.readStream.text(str(requests))
+        writer = analysis_stream(
+            source, lambda: jobs.stored_tables(spark, SF), lambda: days["now"], out, checkpoint, interval=None, buckets=8,
+            windows=fx.WINDOWS, marks=labels.SENTENCE_MARKS,
+        )
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    run()
+    store = Store(spark, out)
+    first = {(r["real_id"], r["section"]): r for r in store.read("reports").collect() if r["page"] == 0}
+    assert len(first) == 6 and store.versions() == [1]
+    old = {(r["real_id"], i): r["event_title"] for r in store.read("events").collect() for i in r["ids"].split(",")}
+
+    (requests / "b.txt").write_text('{"realId":3,"searchId":3}\n')
+    days["now"] = NOW
+    commit = store_module.Change.commit
+    monkeypatch.setattr(store_module.Change, "commit", lambda self: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(Exception, match="crash"):
+        run()
+    monkeypatch.setattr(store_module.Change, "commit", commit)
+    assert store.versions() == [1] and len(store.read("reports").filter("page = 0").collect()) == 6
+    run()
+    assert store.versions() == [1, 2] and store.done("analysis", 1)
+    reports = [r for r in store.read("reports").collect() if r["page"] == 0]
+    assert len([r for r in reports if r["real_id"] == 3]) == 6 and len([r for r in reports if r["real_id"] == 140]) == 3
+    newest = {r["section"]: r for r in reports if r["real_id"] == 3 and r["p_create_time"] == fx.AS_OF_MS}
+    for section, row in newest.items():
+        before, now = first[3, section]["risk_value"], row["risk_value"]
+        assert row["test_time"] and scoring_change(spark, now, before) == row["result_ratio"]
+    new = {(r["real_id"], i): r["event_title"] for r in store.read("events").collect() for i in r["ids"].split(",")}
+    kept = [k for k in old if k in new and k[0] == 3]
+    assert kept and all(new[k] == old[k] for k in kept)
+    assert {k for k in new if k[0] == 140} == {k for k in old if k[0] == 140}
+
+    rows = stored(store.read("reports")), stored(store.read("events"))
+    with pytest.raises(ValueError):
+        store.change("analysis", 1)
+    assert (stored(store.read("reports")), stored(store.read("events"))) == rows
+
+
+def scoring_change(spark, now, before):
+    values = spark.createDataFrame([(now, before)], "now double, before double")
+    return values.select(scoring.period_change(F.col("now"), F.col("before"))).first()[0]
+
+
 def test_analysis_stream_writes_three_reports_per_request(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text('{"realId":3,"searchId":3}\n{"realId":"140","searchId":"140"}\nhello\n')
@@ -121,9 +214,9 @@ def test_analysis_stream_writes_three_reports_per_request(spark, tmp_path):
         windows=fx.WINDOWS, marks=labels.SENTENCE_MARKS,
     )
     writer.trigger(availableNow=True).start().awaitTermination()
-    reports = sinks.read_batches(spark, f"{out}/reports", ["real_id", "section"]).collect()
+    reports = Store(spark, out).read("reports").collect()
     assert {(r["real_id"], r["section"]) for r in reports} == {(t, s) for t in (3, 140) for s in (1, 2, 3)}
-    events = spark.read.parquet(f"{out}/events")
+    events = Store(spark, out).read("events")
     assert {r["real_id"] for r in events.select("real_id").distinct().collect()} <= {3, 140}
     assert spark.read.parquet(f"{out}/messages").count() == 2
 
