@@ -129,30 +129,47 @@ def repeated_runs(anchors: DataFrame, work: Rounds) -> DataFrame:
     return found
 
 
-def _judge(s: Sample, offsets: np.ndarray, length: int, runs: dict):
-    """Cells of a slice as (covered, compared) lists of indexes; ``runs[row]`` has the repeated runs of a text."""
-    covered, compared = [], []
+class Runs:
+    """The repeated runs of a shard as sorted numbers: row, kind of run (0 a gram, then those of RUNS) and first anchor."""
+
+    def __init__(self, table: pa.Table):
+        row_keys = table["row_key"].to_numpy()
+        self.rows = np.unique(row_keys)
+        kinds = np.searchsorted((0, *RUNS), table["blocks"].to_numpy())
+        codes = self.code(np.searchsorted(self.rows, row_keys), kinds, table["i"].to_numpy())
+        order = np.argsort(codes)
+        self.codes, self.own = codes[order], table["own"].to_numpy()[order]
+
+    @staticmethod
+    def code(row: np.ndarray, kind: np.ndarray, i: np.ndarray) -> np.ndarray:
+        return (row.astype(np.int64) << 34) | (kind.astype(np.int64) << 32) | i.astype(np.int64)
+
+    def find(self, row: np.ndarray, kind: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """-1 where there is no such run, else whether its first position is this one."""
+        codes = self.code(row, kind, i)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.own[at].astype(np.int8), -1)
+
+
+def _judge(s: Sample, offsets: np.ndarray, length: int, runs: Runs, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of a slice that are covered and that are to be compared; ``rows`` are the numbers of its texts in ``runs``."""
     begin = np.searchsorted(s.row, np.arange(len(offsets)))
+    cells = np.arange(len(s.of))
     row = s.row[s.of]
-    a = np.searchsorted(s.anchors, s.first, "right") - 1 - begin[row]
-    b = np.searchsorted(s.anchors, s.last + length - s.gram, "left") - begin[row]
-    count = np.diff(begin)[row]
-    for cell, (r, low, high, own, total) in enumerate(zip(row.tolist(), a.tolist(), b.tolist(), (s.of - begin[row]).tolist(), count.tolist())):
-        mine = runs[r]
-        if (0, own) not in mine:
-            continue
-        state = None
-        blocks = next((n for n in RUNS if n >= high - low), None)
-        if low >= 0 and high < total and blocks:
-            for start in range(max(0, high - blocks), low + 1):
-                state = mine.get((blocks, start))
-                if state is not None:
-                    break
-        if state is None or state:
-            compared.append(cell)
-        if state is not None:
-            covered.append(cell)
-    return covered, compared
+    repeated = runs.find(rows[row], np.zeros(len(row)), s.of - begin[row]) >= 0
+    cells, row = cells[repeated], row[repeated]
+    low = np.searchsorted(s.anchors, s.first[cells], "right") - 1 - begin[row]
+    high = np.searchsorted(s.anchors, s.last[cells] + length - s.gram, "left") - begin[row]
+    kind = 1 + np.searchsorted(RUNS, high - low)
+    inside = (low >= 0) & (high < np.diff(begin)[row]) & (kind <= len(RUNS))
+    start = np.maximum(0, high - np.append(RUNS, 0)[kind - 1])
+    state = np.full(len(cells), -1, dtype=np.int8)
+    for step in range(max(RUNS) + 1):  # the first run that holds the cell decides
+        open_ = np.flatnonzero(inside & (state < 0) & (start + step <= low))
+        if not len(open_):
+            break
+        state[open_] = runs.find(rows[row[open_]], kind[open_], start[open_] + step)
+    return cells[state >= 0], cells[state != 0]
 
 
 def _strings(s: Sample, first: np.ndarray, last: np.ndarray, length: int, bins: int):
@@ -171,7 +188,7 @@ def _compare(texts: DataFrame, runs: DataFrame, length: int, bins: int) -> DataF
     """Rows of ENTRY: string keys by bin, and by -1 - shard the ranges that are covered or compared."""
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = dict(zip(right["row_key"].to_pylist(), right["runs"].to_pylist()))
+        known = Runs(right)
         cells = {"part": [], "row_keys": [], "lengths": [], "payload": []}
 
         def add(part, row_keys, lengths, payload):
@@ -179,15 +196,12 @@ def _compare(texts: DataFrame, runs: DataFrame, length: int, bins: int) -> DataF
                 cells[name].append(value)
 
         row_keys = left["row_key"].to_numpy()
-        touched = np.flatnonzero(np.isin(row_keys, np.array(list(known), dtype=np.int64)))
+        touched = np.flatnonzero(np.isin(row_keys, known.rows))
         left, row_keys = left.take(pa.array(touched)), row_keys[touched]
         for low, high in row_groups(left):
             data, offsets = unsqueezed(left, low, high)
             s = Sample(data, offsets, length)
-            mine = {i: {(r["blocks"], r["i"]): r["own"] for r in known[row_keys[low + i]]} for i in range(high - low)}
-            covered, compared = _judge(s, offsets, length, mine)
-            if not covered and not compared:
-                continue
+            covered, compared = _judge(s, offsets, length, known, np.searchsorted(known.rows, row_keys[low:high]))
             for kind, chosen in ((0, covered), (1, compared)):
                 first, last = s.first[chosen], s.last[chosen]
                 row = s.row[s.of[chosen]]
@@ -196,9 +210,8 @@ def _compare(texts: DataFrame, runs: DataFrame, length: int, bins: int) -> DataF
                 shard = left["shard"][0].as_py()
                 if len(row):
                     add(-1 - shard, row_keys[low + unique], lengths, ranges)
-            chosen = np.array(compared, dtype=np.int64)
-            if len(chosen):
-                at, part, keys = _strings(s, s.first[chosen], s.last[chosen], length, bins)
+            if len(compared):
+                at, part, keys = _strings(s, s.first[compared], s.last[compared], length, bins)
                 row = np.searchsorted(offsets, at, "right") - 1
                 order = np.argsort(part, kind="stable")
                 part, row, keys = part[order], row[order], keys[order]
@@ -319,8 +332,7 @@ def repeated_bytes(
     bins = max(1, -(-total // (8 * bin_strings)))  # most strings are settled by their runs
     shards = max(1, -(-total // shard_bytes))
     runs = repeated_runs(work.write(_anchors(rows, length), "anchors"), work)
-    by_row = runs.groupBy("row_key").agg(F.collect_set(F.struct("blocks", "i", "own")).alias("runs"))
-    known = by_row.select(F.pmod("row_key", F.lit(shards)).cast("int").alias("shard"), "row_key", "runs")
+    known = runs.select(F.pmod("row_key", F.lit(shards)).cast("int").alias("shard"), "row_key", "blocks", "i", "own")
     answers = _answers(_compare(squeezed(rows, shards), known, length, bins), bins, shards)
     found = _finish(squeezed(rows, shards), answers, length, bins)
     return found.withColumnRenamed("id", id_col)

@@ -77,6 +77,13 @@ def test_repeated_words(spark, texts, bin_windows, shard_bytes):
 @pytest.mark.parametrize("length", [400])
 def test_repeated_bytes(spark, texts, length):
     rows = texts + [(None, texts[0][1]), texts[0]]
+    rng = random.Random(8)
+    for period in (1, 2, 3, 7, 19, 40, 64, 65, 90):  # low periods, in a text of their own and inside another
+        unit = "".join(rng.choice("abcdé ") for _ in range(period))
+        rows += [(200 + period, unit * (900 // period)), (300 + period, prose(period, 60, 10**6) + unit * (500 // period) + prose(99, 9, 10**6))]
+    for size in (399, 400, 401, 460, 530, 700):  # copies too short for whole runs of blocks
+        copy = prose(600 + size, 200, 10**6)[:size]
+        rows += [(400 + size, copy), (1200 + size, copy), (2000 + size, prose(size, 40, 10**6) + copy + prose(size + 1, 40, 10**6))]
     data = [(t or "").encode() for _, t in rows]
     seen = Counter(b[p : p + length] for b in data for p in range(len(b) - length + 1))
     expected = defaultdict(list)
