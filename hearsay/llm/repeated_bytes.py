@@ -26,7 +26,7 @@ from hearsay.workspace import Rounds
 
 GRAM = 64
 RUNS = (4, 6)
-BIN_STRINGS = 2 << 20
+BIN_STRINGS = 1 << 20
 
 
 def _sliding(values: np.ndarray, width: int, take) -> np.ndarray:
@@ -112,8 +112,12 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return found.select("row_key", "i", "rank", (position == F.col("least")).alias("own"))
 
 
-def repeated_runs(anchors: DataFrame, work: Rounds) -> DataFrame:
-    """(row_key, blocks, i, own) of what occurs again: the gram of an anchor (blocks 0), and runs of RUNS blocks."""
+def repeated_runs(anchors: DataFrame, work: Rounds) -> tuple[DataFrame, float]:
+    """(row_key, blocks, i, own) of what occurs again: the gram of an anchor (blocks 0), and runs of RUNS blocks.
+
+    Also the share of all anchors whose gram occurs again and that no run settles.
+    """
+    count = anchors.count()
     grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     alive = work.write(anchors.join(grams, "gram", "left_semi").drop("gram"), "alive")
     work.drop("anchors")
@@ -126,7 +130,9 @@ def repeated_runs(anchors: DataFrame, work: Rounds) -> DataFrame:
     found = alive.select("row_key", F.lit(0).alias("blocks"), "i", F.lit(False).alias("own"))
     for blocks in RUNS:
         found = found.unionByName(ranks[blocks].select("row_key", F.lit(blocks).alias("blocks"), "i", "own"))
-    return found
+    # a repeated run that is not the first of its kind settles about one cell
+    left = alive.count() - ranks[RUNS[0]].filter("not own").count()
+    return found, max(0, left) / max(1, count)
 
 
 class Runs:
@@ -234,11 +240,13 @@ def _answers(entries: DataFrame, bins: int, shards: int) -> DataFrame:
             here = pa.array(np.full(table.num_rows, -1 - number, dtype=np.int32))
             return table.set_column(0, "part", pa.array(np.full(table.num_rows, -1, dtype=np.int32))).add_column(0, "shard", here)
         row_keys, lengths, keys = joined(table, "row_keys", np.int64), joined(table, "lengths", np.int32), joined(table, "payload", np.uint64)
-        order = np.argsort(keys, kind="stable")
-        same = keys[order][1:] == keys[order][:-1]
+        order = np.argsort(keys)
+        keys = keys[order]
+        same = keys[1:] == keys[:-1]
         again = np.zeros(len(keys), dtype=bool)
         again[order[1:]] |= same
         again[order[:-1]] |= same
+        del order, keys, same
         run = np.repeat(np.arange(len(row_keys)), lengths)
         touched = np.unique(run[again])
         shard = row_keys[touched] % shards
@@ -329,9 +337,9 @@ def repeated_bytes(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"), F.col(text_col).alias("text")
     )
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    bins = max(1, -(-total // (8 * bin_strings)))  # most strings are settled by their runs
     shards = max(1, -(-total // shard_bytes))
-    runs = repeated_runs(work.write(_anchors(rows, length), "anchors"), work)
+    runs, left = repeated_runs(work.write(_anchors(rows, length), "anchors"), work)
+    bins = 1 + int(total * left / bin_strings)
     known = runs.select(F.pmod("row_key", F.lit(shards)).cast("int").alias("shard"), "row_key", "blocks", "i", "own")
     answers = _answers(_compare(squeezed(rows, shards), known, length, bins), bins, shards)
     found = _finish(squeezed(rows, shards), answers, length, bins)
