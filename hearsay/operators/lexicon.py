@@ -30,6 +30,8 @@ def build_lexicon(negative: DataFrame, positive: DataFrame, presentation: DataFr
 
 
 GRAM_LENGTHS = (8, 4, 2, 1)
+#: characters of a segment that are fetched for a hit, at least
+PIECE = 256
 
 
 class Shape(NamedTuple):
@@ -87,26 +89,46 @@ def match_segments(
     """(keys, entry) for every segment that contains all parts of an entry.
 
     Containment becomes an equi-join. A part is anchored on its leading gram, of the largest length in
-    ``GRAM_LENGTHS`` that fits; a segment offers one gram per position and gram length in use, with the
-    characters that follow it as far as the longest part goes, and the part is verified on those. Rows
-    and bytes are linear in the text, whatever the lexicon's size. ``shape`` is that of the lexicon; by
-    default it is computed here.
+    ``GRAM_LENGTHS`` that fits; a segment offers one gram per position and gram length in use, with nothing
+    but its place. The characters at a place are fetched for hits only, from pieces of the segment that are
+    long enough for the longest part, and the part is verified on those. Rows and bytes of the expansion are
+    linear in the text, whatever the lexicon holds. ``shape`` is that of the lexicon; by default it is
+    computed here.
     """
     gram_lengths, longest = shape or lexicon_shape(lexicon, entry)
     parts = _parts(lexicon, entry).withColumn("gram_length", _gram_length())
     anchors = parts.withColumn("gram", F.substring("part", F.lit(1), F.col("gram_length"))).drop("gram_length")
+    pieces = _pieces(segments, keys, text, max(PIECE, longest), longest)
+    last = F.least(F.length("_around") - F.col("_n"), F.col("_size") - 1)
     located = (
-        segments.select(*keys, F.col(text).alias("_text"))
-        .withColumn("_n", F.explode(F.array(*[F.lit(n) for n in gram_lengths])))
-        .filter(F.length("_text") >= F.col("_n"))
-        .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1)))
-        .select(
-            *keys, F.substring(F.col("_text"), F.col("_at"), F.col("_n")).alias("gram"),
-            F.substring(F.col("_text"), F.col("_at"), F.lit(longest)).alias("_ahead"),
-        )
+        pieces.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in gram_lengths])))
+        .filter(F.length("_around") >= F.col("_n"))
+        .withColumn("_at", F.explode(F.sequence(F.lit(0), last)))
+        # never null, so that the join does not compute it once more to test for that
+        .select(*keys, "_segment", "_piece", "_at", F.coalesce(F.substring(F.col("_around"), F.col("_at") + 1, F.col("_n")), F.lit("")).alias("gram"))
     )
-    hits = located.join(anchors, "gram").filter(F.startswith(F.col("_ahead"), F.col("part")))
-    return _complete(hits, keys, entry)
+    hits = located.join(anchors, "gram").drop("gram").distinct()  # segments may be repeated
+    place = [*keys, "_segment", "_piece"]
+    own = pieces.select(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(place)], "_around")
+    same = [F.col(c).eqNullSafe(F.col(f"_k{n}")) for n, c in enumerate(place)]
+    there = F.substring(F.col("_around"), F.col("_at") + 1, F.length("part"))
+    return _complete(hits.join(own, same).filter(there == F.col("part")), keys, entry)
+
+
+def _pieces(segments: DataFrame, keys: list[str], text: str, size: int, ahead: int) -> DataFrame:
+    """Segments in pieces of ``size`` characters, each with the ``ahead`` next ones; ``_size`` is its own length.
+
+    A segment's number is the hash of its text. One pass cuts it, since a place in a text is found by counting.
+    """
+    cut = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    rows = segments.select(*keys, F.xxhash64(text).alias("_segment"), cut.alias("_cut"))
+
+    def piece(own: Column, at: Column) -> Column:
+        following = F.coalesce(F.get(F.col("_cut"), at + 1), F.lit(""))
+        return F.struct(F.concat(own, F.substring(following, F.lit(1), F.lit(ahead))).alias("around"), F.length(own).alias("size"))
+
+    rows = rows.select(*keys, "_segment", F.posexplode(F.transform("_cut", piece)).alias("_piece", "_p"))
+    return rows.select(*keys, "_segment", "_piece", F.col("_p.around").alias("_around"), F.col("_p.size").alias("_size"))
 
 
 def match_token_set(
