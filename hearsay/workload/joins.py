@@ -82,9 +82,10 @@ def match_conjunction(spark, sf_dir):
 
 @query(
     "match_token_set",
-    """WITH tok AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS token FROM documents)
-SELECT a.doc_id, word FROM pair_list JOIN tok a ON a.token = split_part(word, '+', 1)
-JOIN tok b ON b.doc_id = a.doc_id AND b.token = split_part(word, '+', 2)""",
+    """WITH tok AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS token FROM documents),
+part AS MATERIALIZED (SELECT DISTINCT word, unnest(string_split(word, '+')) AS token FROM pair_list)
+SELECT doc_id, word FROM tok JOIN part USING (token) GROUP BY doc_id, word
+HAVING count(*) = any_value(len(list_distinct(string_split(word, '+'))))""",
     "pair_list",
 )
 def match_token_set(spark, sf_dir):
