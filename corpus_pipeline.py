@@ -20,7 +20,7 @@ from hearsay.workspace import Rounds
 MIN_SCORE = 0.5
 REPETITION = 4.0
 
-#: Language identification and a weakly informed mixture are no SQL; tests hold the rows against brute force.
+#: Language identification and the mixture are no SQL; ``tests/llm/test_pipeline.py`` holds each stage against plain Python.
 ORACLE_SQL = None
 
 
@@ -46,11 +46,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each text; rows that repeat id and text are one."""
+    """Keeps one row of each text; rows that repeat id and text are one, the first by all columns."""
     rows = _numbered(docs)
     kept = exact.exact_dedup(rows, id_col="row").filter("kept").select("row").distinct()
     found = rows.join(kept, "row", "left_semi")
-    first = Window.partitionBy("row").orderBy(F.lit(0))
+    first = Window.partitionBy("row").orderBy(*[f"c{i}" for i in range(len(docs.columns))])
     return _original(found.withColumn("_n", F.row_number().over(first)).filter("_n = 1"), docs)
 
 
