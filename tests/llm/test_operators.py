@@ -156,15 +156,40 @@ def test_exact_dedup(spark, texts):
         keep = min(members, key=lambda m: (m[0], m[1], m[2] or 0))[2]
         for _, _, i in members:
             expected[(i, keep, len(members), i == keep, hashlib.sha256(body.encode()).hexdigest())] += 1
-    for capacity in (1024, 2):
-        assert Counter(tuple(r) for r in exact_dedup.exact_dedup(table(spark, rows), capacity=capacity).collect()) == expected
+    for options in ({}, {"capacity": 2}, {"hot_bytes": 200}):
+        assert Counter(tuple(r) for r in exact_dedup.exact_dedup(table(spark, rows), **options).collect()) == expected
+
+
+def test_texts_under_one_hash_are_told_apart_by_their_bytes(spark, texts):
+    same = lambda text: F.when(F.length(text) > 1000, F.lit(-5)).otherwise(F.lit(7)).cast("long")
+    rows = texts + [(100 + i, "copied text") for i in range(40)] + [(None, "x")]
+    plain = Counter(tuple(r) for r in exact_dedup.exact_dedup(table(spark, rows)).collect())
+    for options in ({}, {"hot_bytes": 100}):
+        assert Counter(tuple(r) for r in exact_dedup.exact_dedup(table(spark, rows), key=same, **options).collect()) == plain
+    index = exact_dedup.exact_index(table(spark, rows), key=same).collect()
+    assert {r["hash"] for r in index} == {-5, 7} and all(r["body"] is not None for r in index)
+    for h in (-5, 7):
+        chain = [r for r in index if r["hash"] == h]
+        assert sorted(r["link"] for r in chain) == list(range(1, len(chain) + 1)) and len({r["bucket"] for r in chain}) == 1
 
 
 def test_directory_splits_only_overfull_buckets(spark):
-    hashes = spark.range(5000).select(F.xxhash64("id").alias("hash"))
-    buckets = exact_dedup.directory(hashes, 100)
-    assert [b[1] for b in buckets] == [0] + [b[2] for b in buckets[:-1]] and buckets[-1][2] == 1 << exact_dedup.SLOT_BITS
-    assert exact_dedup.directory(hashes, 10**6) == [(0, 0, 1 << exact_dedup.SLOT_BITS)]
+    plain = spark.range(5000).select(F.xxhash64("id").alias("hash"))
+    crowded = plain.union(spark.range(1000).select((F.col("id") + F.lit(3 << 40)).alias("hash")))  # one long common prefix
+    for hashes in (plain, crowded.filter("hash >= 0")):
+        depth, found = exact_dedup.directory(hashes, 100)
+        entries = {r["slot"]: r for r in found.collect()}
+        values = [r["hash"] % (1 << 64) for r in hashes.collect()]
+        held = Counter(entries[v >> (64 - depth)]["bucket"] for v in values)
+        assert sum(held.values()) == len(values) and max(held.values()) <= 100
+        assert max(r["depth"] for r in entries.values()) == depth
+        for r in entries.values():  # a bucket's parent would be overfull
+            shift = 64 - depth + depth - r["depth"] + 1
+            if r["depth"]:
+                parent = (r["bucket"] << (64 - depth)) >> shift
+                assert sum(v >> shift == parent for v in values) > 100
+    depth, found = exact_dedup.directory(plain, 10**6)
+    assert depth == 0 and [tuple(r) for r in found.collect()] == [(0, 0, 0)]
 
 
 def test_decontaminate(spark, texts):
