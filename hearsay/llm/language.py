@@ -90,38 +90,40 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "lang", bits:
 def predict(docs: DataFrame, model, keep: list[str | Column], text_col: str = "text") -> DataFrame:
     """``keep`` columns of ``docs`` with (lang_pred, score).
 
-    The score is the posterior probability of the predicted language. A null text, a text without any
-    letter, and every text when no language was learned is ``und`` with score 0.
+    The score is the posterior probability of the predicted language; of equal ones the first by name
+    is predicted. A null text, a text without any letter, and every text when no language was learned is
+    ``und`` with score 0. Each row is judged by its text alone, so repeated rows come back repeated; an empty
+    table gives an empty result, and ``keep`` may hold any columns of ``docs``, the text among them.
     """
     names, prior, matrix = model
     bits = int(np.log2(matrix.shape[0])) if len(names) else 0
     shared = docs.sparkSession.sparkContext.broadcast((prior, matrix))
-    rows = docs.select(*keep, F.col(text_col).alias("_text")).toDF(*[f"c{i}" for i in range(len(keep))], "_text")
-    kept = rows.columns[:-1]
-    wanted = docs.select(*keep).columns
+    kept = [f"c{i}" for i in range(len(keep))]
+    wanted = docs.select(*keep)
+    if text_col in [k for k in keep if isinstance(k, str)]:  # a text that is kept is sent once
+        text, rows = kept[[k if isinstance(k, str) else None for k in keep].index(text_col)], wanted.toDF(*kept)
+    else:
+        text, rows = "_text", docs.select(*keep, F.col(text_col)).toDF(*kept, "_text")
 
     def score(batches):
         prior, matrix = shared.value
         for batch in batches:
-            pred, best = [], []
-            for low, high, data, offsets in packed.slices(batch, "_text"):
-                if not names:
-                    pred += [UNKNOWN] * (high - low)
-                    best.append(np.zeros(high - low))
-                    continue
-                has_letter, parts, bounds = grams(data, offsets, bits)
-                total = np.tile(prior, (high - low, 1))
-                for found, limits in zip(parts, bounds):
-                    for k in range(len(names)):
-                        sums = np.concatenate([[0.0], np.cumsum(matrix[:, k][found], dtype=np.float64)])
-                        total[:, k] += sums[limits[1:]] - sums[limits[:-1]]
-                top = total.argmax(axis=1)
-                share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                pred += [names[t] if ok else UNKNOWN for t, ok in zip(top, has_letter)]
-                best.append(np.where(has_letter, share, 0.0))
-            columns = [batch.column(i) for i in range(len(kept))]
-            scores = np.concatenate(best) if best else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(pred, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
-
-    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(score, f"{schema}lang_pred string, score double").toDF(*wanted, "lang_pred", "score")
+            for low, high, data, offsets in packed.slices(batch, text):  # results leave slice by slice
+                if names:
+                    has_letter, parts, bounds = grams(data, offsets, bits)
+                    total = np.tile(prior, (high - low, 1))
+                    for found, limits in zip(parts, bounds):
+                        for k in range(len(names)):
+                            sums = np.concatenate([[0.0], np.cumsum(matrix[:, k][found], dtype=np.float64)])
+                            total[:, k] += sums[limits[1:]] - sums[limits[:-1]]
+                    top = total.argmax(axis=1)
+                    share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+                    pred = [names[t] if ok else UNKNOWN for t, ok in zip(top, has_letter)]
+                    best = np.where(has_letter, share, 0.0)
+                else:
+                    pred, best = [UNKNOWN] * (high - low), np.zeros(high - low)
+                columns = [batch.column(i).slice(low, high - low) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(pred, pa.string()), pa.array(best)], names=[*kept, "lang_pred", "score"])
+
+    schema = "".join(f"{name} {f.dataType.simpleString()}, " for name, f in zip(kept, wanted.schema.fields))
+    return rows.mapInArrow(score, f"{schema}lang_pred string, score double").toDF(*wanted.columns, "lang_pred", "score")

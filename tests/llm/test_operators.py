@@ -403,6 +403,50 @@ def test_language_counts_match_a_plain_model(spark):
     assert np.allclose(np.exp(matrix.astype(float)).sum(axis=0), 1, atol=1e-4)
 
 
+def plain_grams(text, bits):
+    """Buckets of a text's n-grams, as the model hashes them: letters in lower case, all else as one sign."""
+    signs = [(ord(c.lower()) if len(c.lower()) == 1 else ord(c)) if c.isalpha() else 0 for c in text]
+    found = []
+    for order in language.ORDERS:
+        for i in range(len(signs) - order + 1):
+            gram = signs[i : i + order]
+            if (order == 1 and not gram[0]) or any(a == b == 0 for a, b in zip(gram, gram[1:])):
+                continue
+            key = language.packed.window_keys(np.array(gram, dtype=np.uint64) + np.uint64(order), order)[0]
+            found.append(int(key) >> (64 - bits))
+    return found
+
+
+def test_language_equals_a_plain_naive_bayes(spark):
+    rng = random.Random(8)
+    letters = {"x": "abcde ", "y": "cdefgÉ 1", "z": "aβγç  .", "same": "aβγç  ."}
+    learned = [("".join(rng.choice(letters[k]) for _ in range(rng.randrange(0, 60))), k) for k in letters for _ in range(12)] + [(None, "x"), ("abc", None)]
+    asked = [t for t, _ in learned] + ["", "...", "1 2 3", "a", "É", "new wordsé", "ab" * 30000, "a", "a"]
+    bits = 9
+    counts, seen = {k: Counter() for k in letters}, Counter(k for _, k in learned if k)
+    for text, k in learned:
+        if k:
+            counts[k].update(plain_grams(text or "", bits))
+    norm = {k: math.log(sum(counts[k].values()) + 0.1 * (1 << bits)) for k in letters}
+    expected = []
+    for i, text in enumerate(asked):
+        if not any(c.isalpha() for c in text or ""):
+            expected.append((i, "und", 0.0))
+            continue
+        grams = Counter(plain_grams(text, bits))
+        scores = {k: math.log(seen[k] / sum(seen.values())) + sum(n * (math.log(counts[k][g] + 0.1) - norm[k]) for g, n in grams.items()) for k in letters}
+        top = max(sorted(scores), key=scores.get)
+        expected.append((i, top, 1 / sum(math.exp(max(s - scores[top], -700)) for s in scores.values())))
+    model = language.fit(spark.createDataFrame(learned, "text string, lang string"), bits=bits)
+    docs = spark.createDataFrame([(i, t, "clash", 0.5) for i, t in enumerate(asked)], "doc_id long, text string, lang_pred string, c0 double")
+    for keep in (["doc_id"], ["doc_id", "text", "c0"]):
+        found = sorted(language.predict(docs.repartition(2), model, keep).collect(), key=lambda r: r[0])
+        assert [(r[0], r[-2]) for r in found] == [e[:2] for e in expected]
+        assert np.allclose([r[-1] for r in found], [e[2] for e in expected], atol=1e-3)
+        assert keep[1:] == [] or [(r["text"], r["c0"]) for r in found] == [(t, 0.5) for t in asked]
+    assert language.predict(docs.limit(0), model, ["doc_id", "text"]).collect() == []
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(4)
     bad = ["scum", "moronic", "vileness"]
