@@ -38,8 +38,9 @@ class Rounds:
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"
 
-    def write(self, df: DataFrame, table: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(table))
+    def write(self, df: DataFrame, table: str, *by: str) -> DataFrame:
+        """The written table, laid out in a folder for each value of the columns ``by``."""
+        df.write.mode("overwrite").partitionBy(*by).parquet(self.path(table))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def drop(self, table: str) -> None:

@@ -13,6 +13,7 @@ from hearsay.operators import (
     components, density, events, leaders, lexicon, linkage, listing, projections, ranking, reports, scoring, similarity, tasks, text,
 )
 from hearsay.workload import clusters
+from hearsay.workspace import Rounds
 
 NEG, POS = labels.NEGATIVE, labels.POSITIVE
 
@@ -300,6 +301,38 @@ def test_leaders_equal_the_sequential_walk(spark, block):
     assert len(got) == len(rows)
 
 
+def test_leaders_of_copies_null_groups_and_unusable_vectors(spark):
+    rng = random.Random(17)
+    rows = [(i, None if i % 3 else 7, [rng.choice([-1.0, 0.0, 1.0]) for _ in range(3)]) for i in range(90)]
+    rows += [(90, 7, None), (91, None, []), (92, 7, [float("nan"), 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, g int, vector array<double>")
+    got = leaders.incremental_cluster(df, 0.8, "g", block=2).collect()
+    expected = {}
+    for g in (None, 7):
+        centres = []
+        for i, h, v in rows:
+            if h == g:
+                usable = bool(v) and any(v) and not any(math.isnan(x) for x in v)
+                expected[i] = next((c for c, w in centres if usable and cosine(v, w) >= 0.8), i)
+                if usable and expected[i] == i:
+                    centres.append((i, v))
+    assert {r["id"]: r["leader"] for r in got} == expected
+    assert {r["grp"] for r in got} == {None, "7"} and len(got) == len(rows)
+
+
+def test_rounds_of_leaders_grow_with_the_logarithm(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(12)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    written = []
+    write = Rounds.write
+    monkeypatch.setattr(Rounds, "write", lambda self, frame, name, *by: written.append(name) or write(self, frame, name, *by))
+    got = {r["id"]: r["leader"] for r in leaders.incremental_cluster(df, 0.9, block=8).collect()}
+    assert got == {i: i for i in got} and len(got) == 400  # nothing is close: every row is a centre
+    assert len([n for n in written if n.startswith("settled")]) == 7
+    assert len([n for n in written if n.startswith("behind")]) <= 7
+
+
 def test_leaders_of_nothing(spark):
     df = spark.createDataFrame([], "id long, vector array<double>")
     assert leaders.incremental_cluster(df, 0.5).count() == 0
