@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +16,7 @@ from hearsay.functions.arrays import explode_once, let, multiset
 from hearsay.workspace import Rounds, by_key, spread
 
 DAMPING = 0.85
+WORD_SLICE = 1 << 19
 
 
 def tokens_of(text: Column) -> Column:
@@ -36,78 +42,75 @@ def bag_of_words(tokens: DataFrame, key: str, token: str = "token") -> DataFrame
     return tokens.groupBy(key, token).agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _ranked_words(codes: np.ndarray, text: np.ndarray, window: int, rounds: int, top: int) -> tuple[np.ndarray, ...]:
+    """(text, code, place) of the best tokens of each text, given the code of every token and its text's number.
+
+    Codes follow the order of the tokens. The graphs of all texts are one graph without edges between
+    texts; an edge is a number, so they are built and walked as flat arrays.
+    """
+    width = int(codes.max()) + 1
+    names, node = np.unique(text * width + codes, return_inverse=True)
+    n = len(names)
+    links = [np.zeros(0, dtype="int64")]
+    for d in range(1, window):
+        a, b = node[:-d], node[d:]
+        near = (text[:-d] == text[d:]) & (a != b)
+        links.append(np.unique(np.minimum(a, b)[near] * n + np.maximum(a, b)[near]))
+    links = np.unique(np.concatenate(links))
+    u, v = links // n, links % n
+    degree = np.maximum(np.bincount(u, minlength=n) + np.bincount(v, minlength=n), 1)
+    rank = np.ones(n)
+    for _ in range(rounds):
+        share = rank / degree
+        near = np.bincount(u, weights=share[v], minlength=n) + np.bincount(v, weights=share[u], minlength=n)
+        rank = (1 - DAMPING) + DAMPING * near
+    of, code = names // width, names % width
+    order = np.lexsort((code, -np.round(rank, 9), of))
+    of, code = of[order], code[order]
+    place = np.arange(n) - np.searchsorted(of, of) + 1
+    return of[place <= top], code[place <= top], place[place <= top]
+
+
+def _rank_words(window: int, rounds: int, top: int):
+    """Batches (_h, tokens) to rows (_h, rank, token), a slice of the texts at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, hashes = batch.column("tokens"), batch.column("_h")
+            words = tokens.flatten().dictionary_encode()
+            place = np.empty(len(words.dictionary), dtype="int64")
+            place[pc.array_sort_indices(words.dictionary).to_numpy()] = np.arange(len(place))
+            ordered = words.dictionary.take(pc.array_sort_indices(words.dictionary))
+            codes = place[words.indices.to_numpy()]
+            lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype("int64")
+            ends = np.cumsum(lengths)
+            start = 0
+            while start < len(lengths):  # whole texts, up to the slice's tokens or a single longer one
+                low = int(ends[start] - lengths[start])
+                stop = max(start + 1, int(np.searchsorted(ends, low + WORD_SLICE, side="right")))
+                if ends[stop - 1] > low:
+                    text = np.repeat(np.arange(start, stop), lengths[start:stop])
+                    of, code, rank = _ranked_words(codes[low : ends[stop - 1]], text, window, rounds, top)
+                    columns = [hashes.take(pa.array(of)), pa.array(rank, pa.int32()), ordered.take(pa.array(code))]
+                    yield pa.RecordBatch.from_arrays(columns, ["_h", "rank", "token"])
+                start = stop
+
+    return run
+
+
 def keyword_rank(
     docs: DataFrame, key: str, text: str, window: int = 5, rounds: int = 10, top: int = 20
 ) -> DataFrame:
     """Top tokens of each text by TextRank on the graph of tokens at most ``window - 1`` apart.
 
-    Equal texts are ranked once. Texts are shuffled by key and their graphs are built by aggregates on
-    that partitioning; the rounds are a fold inside the row and move no data.
+    Equal texts are ranked once; a null text, or one without tokens, has no row. A text's graph exists only
+    as flat arrays of its task, in proportion to its tokens: no row holds a graph and the rounds move no data.
     """
     docs = spread(docs.select(key, F.col(text).alias("_text"), F.sha2(F.col(text), 256).alias("_h")))
-    texts = docs.groupBy("_h").agg(F.min(key).alias("_t"), F.any_value("_text").alias("_text"))
-    node = F.transform("tokens", lambda t: F.array_position("vocab", t).cast("int"))
-    numbered = (
-        by_key(texts, "_t")
-        .select("_h", "_t", tokens_of(F.col("_text")).alias("tokens"))
-        .select("_h", "_t", "tokens", F.array_distinct("tokens").alias("vocab"))
-        .select("_h", "_t", "vocab", node.alias("nodes"))
-    )
-    numbered = Rounds(docs.sparkSession, "keywords").write(numbered, "numbered")
-    nodes = by_key(numbered.select("_t", F.size("vocab").alias("v"), "nodes"), "_t")
-    n = F.size("nodes")
-    links = [
-        F.arrays_zip(
-            F.slice("nodes", 1, F.greatest(n - d, F.lit(0))).alias("a"),
-            F.slice("nodes", 1 + d, F.greatest(n - d, F.lit(0))).alias("b"),
-        )
-        for d in range(1, window)
-    ]
-    near = explode_once(nodes, F.flatten(F.array(*links)), "e", keep=["_t"]).filter("e.a <> e.b")
-    both = F.array(
-        F.struct(F.col("e.a").alias("a"), F.col("e.b").alias("b")),
-        F.struct(F.col("e.b").alias("a"), F.col("e.a").alias("b")),
-    )
-    edges = near.select("_t", F.explode(both).alias("e")).select("_t", "e.a", "e.b").distinct()
-    alone = nodes.filter("v > 0").select("_t", F.explode(F.sequence(F.lit(1), F.col("v"))).alias("a"))
-    graph = (
-        edges.unionByName(alone.withColumn("b", F.lit(0)))
-        .groupBy("_t", "a")
-        .agg(F.filter(F.sort_array(F.collect_list("b")), lambda b: b > 0).alias("near"))
-        .groupBy("_t")
-        .agg(F.sort_array(F.collect_list(F.struct("a", "near"))).alias("graph"))
-    )
-
-    def score(x: Column, s: Column) -> Column:
-        return (1 - DAMPING) + DAMPING * F.aggregate(x["near"], F.lit(0.0), lambda t, j: t + F.get(s, j - 1))
-
-    def share(x: Column, value: Column) -> Column:
-        degree = F.size(x["near"])
-        return F.when(degree > 0, value / degree).otherwise(0.0)
-
-    adjacency = F.col("graph")
-    start = F.transform(adjacency, lambda x: share(x, F.lit(1.0)))
-    shares = F.aggregate(
-        F.sequence(F.lit(1), F.lit(rounds - 1)),
-        start,
-        lambda s, _: F.transform(adjacency, lambda x: share(x, score(x, s))),
-    )
-    ranks = let(shares, lambda s: F.transform(adjacency, lambda x: score(x, s)))
-    ordered = F.slice(
-        F.sort_array(
-            F.transform(
-                F.arrays_zip(F.col("vocab").alias("t"), ranks.alias("r")),
-                lambda p: F.struct((-F.round(p["r"], 9)).alias("o"), p["t"].alias("token")),
-            )
-        ),
-        1,
-        top,
-    )
-    words = numbered.select("_h", "_t", "vocab").join(graph, "_t").select("_h", ordered.alias("words"))
-    return (
-        explode_once(docs.select(key, "_h").join(words, "_h"), F.col("words"), "rank", "w", keep=[key])
-        .select(key, (F.col("rank") + 1).alias("rank"), F.col("w.token").alias("token"))
-    )
+    texts = docs.filter("_h IS NOT NULL").groupBy("_h").agg(F.any_value("_text").alias("_text"))
+    tokens = by_key(texts, "_h").select("_h", tokens_of(F.col("_text")).alias("tokens"))
+    words = tokens.mapInArrow(_rank_words(window, rounds, top), "_h string, rank int, token string")
+    return docs.select(key, "_h").join(words, "_h").select(key, "rank", "token")
 
 
 def sentences_of(text: Column, marks: str = labels.SENTENCE_MARKS) -> Column:

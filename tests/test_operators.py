@@ -380,6 +380,48 @@ def test_linkage_distance_equals_brute_force(spark):
             assert [r["distance_min"], r["distance_max"], r["distance_avg"]] == pytest.approx([min(d), max(d), sum(d) / len(d)], abs=1e-5)
 
 
+def brute_keywords(words, window, rounds, top):
+    near = {w: set() for w in words}
+    for i, a in enumerate(words):
+        for b in words[i + 1 : i + window]:
+            if a != b:
+                near[a].add(b)
+                near[b].add(a)
+    rank = {w: 1.0 for w in near}
+    for _ in range(rounds):
+        rank = {w: 0.15 + 0.85 * sum(rank[x] / len(near[x]) for x in near[w]) for w in near}
+    return sorted(near, key=lambda w: (-round(rank[w], 9), w))[:top]
+
+
+def test_keywords_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(23)
+    bodies = [" ".join(rng.choices("ab cd éf gh 中文 ij kl mn op qr".split(), k=rng.randrange(1, 40))) for _ in range(40)]
+    bodies += ["", None, "42 !", "one", "same same same", bodies[0]]
+    df = spark.createDataFrame(list(enumerate(bodies)), "id long, body string")
+    for words in (1, 60, text.WORD_SLICE):  # a text a slice, several, all
+        monkeypatch.setattr(text, "WORD_SLICE", words)
+        got = {}
+        for r in text.keyword_rank(df, "id", "body", rounds=4, top=5).orderBy("id", "rank").collect():
+            got.setdefault(r["id"], []).append(r["token"])
+            assert r["rank"] == len(got[r["id"]])
+        expected = {}
+        for i, body in enumerate(bodies):
+            found = [w for w in (body or "").split() if w.isalpha()]
+            if found:
+                expected[i] = brute_keywords(found, 5, 4, 5)
+        assert got == expected
+
+
+def test_keywords_of_one_long_text(spark):
+    rng = random.Random(29)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choices(letters, k=4)) for _ in range(200_000)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, "short text"), (3, None)], "id long, body string")
+    rows = text.keyword_rank(df, "id", "body", rounds=4).orderBy("id", "rank").collect()
+    assert [r["token"] for r in rows if r["id"] == 1] == brute_keywords(words, 5, 4, 20)
+    assert [r["token"] for r in rows if r["id"] == 2] == ["short", "text"]
+
+
 def test_group_ranking_equals_ranking_inside_the_row(spark):
     docs = spark.createDataFrame(
         [(1, "The cat sat on the mat. A cat sat. Dogs run fast! One. The mat is red? The cat is red"), (2, "Alone here."), (3, "x. y. x")],
