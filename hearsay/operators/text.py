@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearsay import labels
 from hearsay.functions import strings
@@ -17,6 +18,7 @@ from hearsay.workspace import Rounds, by_key, spread
 
 DAMPING = 0.85
 WORD_SLICE = 1 << 19
+PAIR_SLICE = 1 << 20
 
 
 def tokens_of(text: Column) -> Column:
@@ -128,60 +130,120 @@ def log_overlap(shared: Column, n: Column, m: Column) -> Column:
     return F.when(logs > 0, shared / logs).otherwise(0.0)
 
 
-def sentence_scores(bags: Column, rounds: int = 5) -> Column:
-    """TextRank scores of the token bags of one text, as one expression on its row.
+def _totals_product(item: np.ndarray, size: np.ndarray):
+    """Function from the totals of (item, size) cells to their sums weighted by both sizes, item by item.
 
-    The similarity matrix lives inside the row while it is ranked; no pair becomes a row and nothing
-    is shuffled.
+    Cells are sorted by item. The products of an item are its cells squared, taken a slice at a time.
     """
+    first = np.searchsorted(item, item)
+    width = np.searchsorted(item, item, side="right") - first
+    ends = np.cumsum(width)
+    logs = np.log(size)
+
+    def pairs(low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        some = width[low:high]
+        own = np.repeat(np.arange(low, high), some)
+        other = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some) + np.repeat(first[low:high], some)
+        total = logs[own] + logs[other]
+        return own, other, np.divide(1.0, total, out=np.zeros(len(total)), where=total > 0)
+
+    bounds = [0]
+    while bounds[-1] < len(item):
+        done = ends[bounds[-1] - 1] if bounds[-1] else 0
+        bounds.append(max(bounds[-1] + 1, int(np.searchsorted(ends, done + PAIR_SLICE, side="right"))))
+    kept = pairs(0, len(item)) if len(bounds) == 2 else None
+
+    def apply(totals: np.ndarray) -> np.ndarray:
+        result = np.zeros(len(item))
+        for low, high in zip(bounds, bounds[1:]):
+            own, other, weight = kept or pairs(low, high)
+            result += np.bincount(own, weights=totals[other] * weight, minlength=len(item))
+        return result
+
+    return apply
+
+
+def _scored_sentences(codes: np.ndarray, size: np.ndarray, text: np.ndarray, rounds: int) -> np.ndarray:
+    """TextRank scores of sentences, given the codes of all tokens, and each sentence's size and text.
+
+    The similarity of two sentences is their shared tokens, repeats counted, over the sum of their log
+    sizes. Its matrix is never formed: a row times a vector is a sum over the sentence's items (a token
+    and its ordinal) of totals per item and size.
+    """
+    n = len(size)
+    sentence = np.repeat(np.arange(n), size)
+    order = np.lexsort((codes, sentence))
+    codes = codes[order]
+    run = np.r_[True, (codes[1:] != codes[:-1]) | (sentence[1:] != sentence[:-1])] if len(codes) else np.zeros(0, bool)
+    starts = np.flatnonzero(run)
+    ordinal = np.arange(len(codes)) - np.repeat(starts, np.diff(np.r_[starts, len(codes)]))
+    _, word = np.unique(text[sentence] * (codes.max(initial=0) + 1) + codes, return_inverse=True)
+    _, item, often = np.unique(word * (ordinal.max(initial=0) + 1) + ordinal, return_inverse=True, return_counts=True)
+    shared = often[item] > 1
+    item, sentence = item[shared], sentence[shared]
+    width = int(size.max(initial=0)) + 1
+    cells, cell = np.unique(item * width + size[sentence], return_inverse=True)
+    product = _totals_product(cells // width, cells % width)
+    logs = 2 * np.log(size)
+    own = np.bincount(sentence, minlength=n) * np.divide(1.0, logs, out=np.zeros(n), where=logs > 0)
+
+    def apply(s: np.ndarray) -> np.ndarray:
+        seen = product(np.bincount(cell, weights=s[sentence], minlength=len(cells)))
+        return np.round(np.bincount(sentence, weights=seen[cell], minlength=n) - s * own, 12)
+
+    out = apply(np.ones(n))
+    rank = np.ones(n)
+    for _ in range(rounds):
+        rank = (1 - DAMPING) + DAMPING * apply(np.divide(rank, out, out=np.zeros(n), where=out > 0))
+    return rank
 
-    def weights(b: Column) -> Column:
-        return F.transform(
-            b,
-            lambda x, i: F.transform(
-                b,
-                lambda y, j: F.when(i == j, 0.0).otherwise(
-                    log_overlap(F.size(F.array_intersect(x, y)).cast("double"), F.size(x), F.size(y))
-                ),
-            ),
-        )
-
-    def total(row: Column) -> Column:
-        return F.aggregate(row, F.lit(0.0), lambda s, x: s + x)
-
-    def score(row: Column, shares: Column) -> Column:
-        return (1 - DAMPING) + DAMPING * total(F.zip_with(row, shares, lambda w, s: w * s))
-
-    def share(value: Column, out: Column) -> Column:
-        return F.when(out > 0, value / out).otherwise(0.0)
 
-    def rank(w: Column) -> Column:
-        def with_outs(outs: Column) -> Column:
-            shares = F.aggregate(
-                F.sequence(F.lit(1), F.lit(rounds - 1)),
-                F.transform(outs, lambda o: share(F.lit(1.0), o)),
-                lambda s, _: F.transform(w, lambda row, i: share(score(row, s), F.get(outs, i))),
-            )
-            return let(shares, lambda s: F.transform(w, lambda row: score(row, s)))
+def _score_batches(key: str, rounds: int):
+    """Batches (key, _s: sentences with their tokens) to (key, _s: sentences, _r: their scores)."""
 
-        return let(F.transform(w, total), with_outs)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column("_s")
+            sentences, tokens = rows.flatten().flatten()
+            count = pc.fill_null(pc.list_value_length(rows), 0).to_numpy().astype("int64")
+            size = pc.list_value_length(tokens).to_numpy().astype("int64")
+            codes = tokens.flatten().dictionary_encode().indices.to_numpy().astype("int64")
+            text = np.repeat(np.arange(len(count)), count)
+            last, ends = np.cumsum(count), np.r_[0, np.cumsum(size)]
+            scores = np.empty(len(size))
+            start = 0
+            while start < len(count):  # whole texts, up to the slice's tokens or a single longer one
+                low = int(last[start] - count[start])
+                stop = max(start + 1, int(np.searchsorted(ends[last], ends[low] + WORD_SLICE, side="right")))
+                high = int(last[stop - 1])
+                scores[low:high] = _scored_sentences(codes[ends[low] : ends[high]], size[low:high], text[low:high], rounds)
+                start = stop
+            offsets = pa.array(np.r_[0, last], pa.int32())
+            columns = [batch.column(key), pa.ListArray.from_arrays(offsets, sentences), pa.ListArray.from_arrays(offsets, pa.array(scores))]
+            yield pa.RecordBatch.from_arrays(columns, [key, "_s", "_r"])
 
-    return let(bags, lambda b: let(weights(b), rank))
+    return run
 
 
-def _sentence_rows(text: Column, marks: str) -> Column:
-    bagged = F.transform(
-        sentences_of(text, marks), lambda s: F.struct(s.alias("s"), multiset(tokens_of(s)).alias("bag"))
+def _sentence_scores(docs: DataFrame, key: str, text: Column, marks: str, rounds: int = 5) -> DataFrame:
+    """(key, _s, _r): the sentences of each text that have tokens, and their scores; moves no data."""
+    split = F.transform(sentences_of(text, marks), lambda s: F.struct(s.alias("s"), tokens_of(s).alias("t")))
+    rows = spread(docs).select(key, F.filter(split, lambda x: F.size(x["t"]) > 0).alias("_s"))
+    schema = T.StructType(
+        [rows.schema[key], T.StructField("_s", T.ArrayType(T.StringType())), T.StructField("_r", T.ArrayType(T.DoubleType()))]
     )
-    return F.filter(bagged, lambda x: F.size(x["bag"]) > 0)
+    return rows.mapInArrow(_score_batches(key, rounds), schema)
 
 
 def sentence_rank(docs: DataFrame, key: str, text: str, marks: str = labels.SENTENCE_MARKS) -> DataFrame:
-    """(key, pos, sentence, score) of the sentences that have tokens; a map-only job."""
-    rows = spread(docs.select(key, text)).select(key, _sentence_rows(F.col(text), marks).alias("_s"))
-    scored = rows.withColumn("_r", sentence_scores(F.transform("_s", lambda x: x["bag"])))
+    """(key, pos, sentence, score) of the sentences that have tokens, ranked within each text.
+
+    A map-only job whose work and memory follow a text's tokens, not the square of its sentences. A null
+    or empty text has no row.
+    """
+    scored = _sentence_scores(docs.select(key, text), key, F.col(text), marks)
     return explode_once(scored, F.arrays_zip("_s", "_r"), "pos", "_x", keep=[key]).select(
-        key, "pos", F.col("_x._s.s").alias("sentence"), F.col("_x._r").alias("score")
+        key, "pos", F.col("_x._s").alias("sentence"), F.col("_x._r").alias("score")
     )
 
 
@@ -195,15 +257,12 @@ def extract_summary(
     keep: int = 100,
 ) -> DataFrame:
     """Best sentences of each text joined by ``;`` and shortened; '' for a text without any."""
-    rows = spread(docs.select(key, text)).select(
-        key, _sentence_rows(F.coalesce(F.col(text), F.lit("")), marks).alias("_s")
-    )
-    scored = rows.withColumn("_r", sentence_scores(F.transform("_s", lambda x: x["bag"])))
+    scored = _sentence_scores(docs.select(key, text), key, F.coalesce(F.col(text), F.lit("")), marks)
     best = F.slice(
         F.sort_array(
             F.transform(
                 F.arrays_zip("_s", "_r"),
-                lambda x, i: F.struct((-F.round(x["_r"], 7)).alias("o"), i.alias("i"), x["_s"]["s"].alias("s")),
+                lambda x, i: F.struct((-F.round(x["_r"], 7)).alias("o"), i.alias("i"), x["_s"].alias("s")),
             )
         ),
         1,

@@ -4,6 +4,7 @@ import math
 import random
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -434,6 +435,64 @@ def test_group_ranking_equals_ranking_inside_the_row(spark):
     assert {(r["id"], r["sentence"], round(r["score"], 6)) for r in across} == inside
 
 
+def brute_sentence_scores(bags, rounds=5):
+    def weight(a, b):
+        logs = math.log(len(a)) + math.log(len(b))
+        return sum(min(a.count(t), b.count(t)) for t in set(a)) / logs if logs else 0.0
+
+    w = [[weight(a, b) if i != j else 0.0 for j, b in enumerate(bags)] for i, a in enumerate(bags)]
+    out = [sum(row) for row in w]
+    rank = [1.0] * len(bags)
+    for _ in range(rounds):
+        rank = [0.15 + 0.85 * sum(x * r / o for x, r, o in zip(row, rank, out) if o) for row in w]
+    return rank
+
+
+def test_sentence_scores_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(41)
+    bodies = [
+        ". ".join(" ".join(rng.choices("ab cd ef gh ij kl mn".split(), k=rng.randrange(1, 9))) for _ in range(rng.randrange(1, 14)))
+        for _ in range(30)
+    ]
+    bodies += ["", None, "1. 2. 3.", "one", "one. one. one", "... ab cd. 7. ab cd"]
+    df = spark.createDataFrame(list(enumerate(bodies)), "id long, body string")
+    for words in (1, 50, text.WORD_SLICE):  # a text a slice, several, all
+        monkeypatch.setattr(text, "WORD_SLICE", words)
+        got = {}
+        for r in text.sentence_rank(df, "id", "body").orderBy("id", "pos").collect():
+            assert r["pos"] == len(got.setdefault(r["id"], []))
+            got[r["id"]].append((r["sentence"], round(r["score"], 6)))
+        for i, body in enumerate(bodies):
+            kept = [s.strip() for s in (body or "").split(".") if any(c.isalpha() for c in s)]
+            scores = brute_sentence_scores([s.split() for s in kept])
+            assert [s for s, _ in got.get(i, [])] == kept
+            assert [r for _, r in got.get(i, [])] == pytest.approx(scores, abs=2e-6)
+
+
+def test_totals_of_items_by_size_in_slices(monkeypatch):
+    rng = random.Random(47)
+    cells = sorted({(rng.randrange(6), rng.randrange(1, 9)) for _ in range(30)})
+    item, size = (np.array(column) for column in zip(*cells))
+    totals = np.array([rng.random() for _ in cells])
+    expected = [
+        sum(t / math.log(n * m) for (j, m), t in zip(cells, totals) if i == j and n * m > 1) for i, n in cells
+    ]
+    for most in (1, 10, text.PAIR_SLICE):
+        monkeypatch.setattr(text, "PAIR_SLICE", most)
+        assert text._totals_product(item, size)(totals) == pytest.approx(expected)
+
+
+def test_a_text_of_many_sentences(spark):
+    rng = random.Random(43)
+    words = ["".join(rng.choices("abcdefghij", k=3)) for _ in range(3000)]
+    sentences = [" ".join(rng.choices(words, k=rng.randrange(2, 20))) for _ in range(20_000)]
+    best = " ".join(sorted(set(words))[:60])
+    df = spark.createDataFrame([(1, ". ".join([*sentences, best])), (2, "Short. Short text")], "id long, body string")
+    rows = text.sentence_rank(df, "id", "body")
+    assert rows.filter("id = 1").count() == 20_001
+    assert rows.filter("id = 1").orderBy(F.desc("score")).first()["sentence"] == best
+
+
 def test_summary_of_missing_and_empty_text(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "One two. Three four. One two three.")], "id long, body string")
     got = {r["id"]: r["summary"] for r in text.extract_summary(docs, "id", "body").collect()}
