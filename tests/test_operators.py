@@ -381,6 +381,17 @@ def test_linkage_distance_equals_brute_force(spark):
             assert [r["distance_min"], r["distance_max"], r["distance_avg"]] == pytest.approx([min(d), max(d), sum(d) / len(d)], abs=1e-5)
 
 
+def test_nearest_clusters_equal_the_closest_mean(spark):
+    rows = [(i, i % 7, v) for i, _, v in points(random.Random(9), 60)] + [(60, 7, [0.0] * 4), (61, None, [1.0] * 4)]
+    df = spark.createDataFrame(rows, "id long, cluster long, vector array<double>")
+    best = linkage.nearest_pair(linkage.linkage_distance(df.filter("cluster IS NOT NULL"))).first()
+    for block in (512, 3, 1):
+        got = linkage.nearest_clusters(df, block).collect()
+        assert [(r["ci"], r["cj"]) for r in got] == [(best["ci"], best["cj"])]
+        assert got[0]["distance_avg"] == pytest.approx(best["distance_avg"], abs=1e-8)
+    assert linkage.nearest_clusters(df.filter("cluster = 1")).first()["ci"] is None
+
+
 def brute_keywords(words, window, rounds, top):
     near = {w: set() for w in words}
     for i, a in enumerate(words):
