@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hearsay import labels
 from hearsay.functions.arrays import multiset
 from hearsay.operators import (
-    components, density, events, leaders, lexicon, linkage, listing, projections, ranking, reports, scoring, similarity, tasks, text,
+    blocks, components, density, events, leaders, lexicon, linkage, listing, projections, ranking, reports, scoring, similarity, tasks, text,
 )
 from hearsay.workload import clusters
 from hearsay.workspace import Rounds
@@ -514,3 +514,14 @@ def test_latest_and_oldest(spark):
     rows = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, 1, "c")], "k long, t long, v string")
     assert {tuple(r) for r in ranking.latest_per_key(rows, ["k"], ["t"]).collect()} == {(1, 7, "b"), (2, 1, "c")}
     assert [tuple(r) for r in ranking.oldest_of_many(rows, ["k"], ["t"]).collect()] == [(1, 5, "a")]
+
+
+def test_rows_travel_a_bounded_number_of_times(spark):
+    """Also where one item or key is in every row, and whatever the least block."""
+    rows = spark.range(2000).select("id", F.lit("").alias("key"), F.lit(1.0).alias("x"))
+    assert blocks.keyed(rows, 8).count() <= 2000 * (blocks.BLOCKS + 1)
+    bags = rows.select("id", F.lit(3).alias("size"), F.array(F.lit(1), F.lit(2), F.col("id") + 3).alias("codes"))
+    assert blocks.banded(bags, 0.0, 8).count() <= 2000 * (blocks.BLOCKS + 1)
+    far = bags.withColumn("size", F.when(F.col("id") % 2 == 0, 3).otherwise(300))
+    tasks = blocks.banded(far, 0.44, 8).groupBy("task").agg(F.count_distinct("size").alias("n"))
+    assert tasks.agg(F.max("n")).first()[0] == 1
