@@ -532,12 +532,12 @@ def test_summaries_are_equal_in_one_row_and_by_rounds(spark):
     words = [f"w{i}" for i in range(12)]
     rows = [(e, o, ". ".join(" ".join(rng.choices(words, k=rng.randint(1, 7))) for _ in range(6)) + ".") for e in range(6) for o in range(e + 1)]
     rows += [(7, 0, "!!!!!!!"), (8, 0, "short"), (9, None, "w1 w2 w3. w2 w3."), (None, 0, "w1 w2 w3. w2 w3.")]
-    df = spark.createDataFrame(rows, "e int, o int, t string")
-    one, rounds = ({r["e"]: r["summary"] for r in text.event_summary(df, "e", "o", "t", labels.SENTENCE_MARKS, characters=n).collect()} for n in (10**6, 0))
+    df = spark.createDataFrame(rows, "e int, turn int, body string")
+    one, rounds = ({r["e"]: r["summary"] for r in text.event_summary(df, "e", "turn", "body", labels.SENTENCE_MARKS, characters=n).collect()} for n in (10**6, 0))
     assert one == rounds and set(one) == set(range(6))
 
 
 def test_members_of_an_event_travel_once(spark):
-    df = spark.createDataFrame([(1, i, f"alpha beta {i}. beta gamma {i}.") for i in range(5)], "e int, o int, t string")
-    plan = text.event_summary(df, "e", "o", "t", labels.SENTENCE_MARKS)._jdf.queryExecution().executedPlan().toString()
+    df = spark.createDataFrame([(1, i, f"alpha beta {i}. beta gamma {i}.") for i in range(5)], "e int, turn int, body string")
+    plan = text.event_summary(df, "e", "turn", "body", labels.SENTENCE_MARKS)._jdf.queryExecution().executedPlan().toString()
     assert "mapinarrow" in plan.lower() and plan.count("Exchange") <= 4
