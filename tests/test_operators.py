@@ -371,6 +371,25 @@ def test_average_linkage_equals_brute_force(spark, block):
         assert {frozenset(g) for g in groups.values()} == brute_linkage(rows, 0.3)
 
 
+def test_linkage_of_frequent_tokens_only(spark):
+    rows = [(i, ["a"] * (1 + i % 5) + ["b"] * (1 + i % 7)) for i in range(70)]  # every token in all rows
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    bags = similarity.cosine_bags(df, F.col("tokens"))
+    groups = {}
+    for r in linkage.hierarchical_cluster(bags, 0.02).collect():
+        groups.setdefault(r["cluster_id"], set()).add(r["id"])
+    assert {frozenset(g) for g in groups.values()} == brute_linkage(rows, 0.02)
+
+
+def test_component_of_many_blocks_takes_no_rounds(spark, monkeypatch):
+    rows = texts(random.Random(5), 700, words=9, length=8, copies=0.0)
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    bags = similarity.cosine_bags(df, F.col("tokens"))
+    monkeypatch.setattr(blocks, "run", None)  # tasks over pairs of blocks
+    got = linkage.hierarchical_cluster(bags, 0.3)
+    assert similarity.collapse(bags).count() > blocks.BLOCK_ROWS and got.count() == 700
+
+
 def test_linkage_distance_equals_brute_force(spark):
     rows = points(random.Random(8), 50)
     rows = [(i, i % 3, v) for i, _, v in rows]
