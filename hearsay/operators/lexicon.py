@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearsay.operators.projections import unit_weight
 
@@ -29,16 +34,22 @@ def build_lexicon(negative: DataFrame, positive: DataFrame, presentation: DataFr
     return counted.join(_by_word(presentation, "words", *SHOWN), "word")
 
 
-GRAM_LENGTHS = (8, 4, 2, 1)
+GRAM_LENGTHS = (8, 7, 6, 5, 4, 3, 2, 1)
 #: characters of a segment that are fetched for a hit, at least
 PIECE = 256
+#: the table of anchors has some 32 slots a gram, and 2 to the power of these at least and at most
+LEAST_BITS, MOST_BITS = 20, 24
+#: code points that are looked up at a time
+CODE_SLICE = 1 << 20
+MIX, SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
 
 class Shape(NamedTuple):
-    """What the expansion of a text depends on: the gram lengths in use and the longest part."""
+    """What the expansion of a text depends on: the gram lengths in use, the longest part, and the slots of the grams."""
 
     gram_lengths: list[int]
     longest: int
+    slots: bytes = b""
 
 
 def _parts(lexicon: DataFrame, entry: str) -> DataFrame:
@@ -59,13 +70,95 @@ def _gram_length() -> Column:
     return length
 
 
+def _anchors(lexicon: DataFrame, entry: str) -> DataFrame:
+    """Parts with their leading gram."""
+    parts = _parts(lexicon, entry).withColumn("gram_length", _gram_length())
+    return parts.withColumn("gram", F.substring("part", F.lit(1), F.col("gram_length"))).drop("gram_length")
+
+
 def lexicon_shape(lexicon: DataFrame, entry: str = "word") -> Shape:
-    """One small job on the lexicon; a stream runs it once before it starts."""
-    used = _parts(lexicon, entry).agg(
-        F.collect_set(_gram_length()).alias("lengths"), F.coalesce(F.max(F.length("part")), F.lit(1)).alias("longest")
+    """Two small jobs on the lexicon; a stream runs them once before it starts."""
+    anchors = _anchors(lexicon, entry)
+    used = anchors.agg(
+        F.collect_set(F.length("gram")).alias("lengths"), F.coalesce(F.max(F.length("part")), F.lit(1)).alias("longest"),
+        F.approx_count_distinct("gram").alias("grams"),
     )
     row = used.first()
-    return Shape(sorted(row["lengths"]) or [1], row["longest"])
+    lengths = sorted(row["lengths"]) or [1]
+    bits = min(MOST_BITS, max(LEAST_BITS, (32 * row["grams"]).bit_length()))
+    slots = np.zeros(1 << bits >> 3, dtype="uint8")
+    for table in anchors.select("gram").distinct().mapInArrow(_slots_of(lengths, bits), "slots binary").toLocalIterator():
+        slots |= np.frombuffer(table["slots"], dtype="uint8")
+    return Shape(lengths, row["longest"], slots.tobytes())
+
+
+def _slices(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The code points of a column, a slice of whole rows at a time: (first row, bounds of the rows, code points)."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(text), 0).to_numpy().astype("int64"))
+    first = 0
+    while first < len(ends):
+        done = int(ends[first - 1]) if first else 0
+        stop = max(first + 1, int(np.searchsorted(ends, done + CODE_SLICE, side="right")))
+        joined = "".join(x for x in text.slice(first, stop - first).to_pylist() if x is not None)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="uint32")
+        yield first, np.r_[0, ends[first:stop] - done], codes
+        first = stop
+
+
+def _slots(codes: np.ndarray, lengths: list[int], bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each gram length the slots of the grams at all places."""
+    mixed = np.zeros(len(codes), dtype="uint64")
+    for n in range(1, max(lengths) + 1):
+        if n > len(codes):
+            return
+        mixed = mixed[: len(codes) - n + 1] * MIX + codes[n - 1 :]
+        if n in lengths:
+            yield n, ((mixed + np.uint64(n)) * SPREAD) >> np.uint64(64 - bits)
+
+
+def _slots_of(lengths: list[int], bits: int):
+    """Grams to one table of their slots, a bit each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, dtype="bool")
+        for batch in batches:
+            for _, bounds, codes in _slices(batch.column("gram")):
+                length = np.diff(bounds)
+                for n, slot in _slots(codes, lengths, bits):
+                    table[slot[bounds[:-1][length == n]]] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(table).tobytes()], pa.binary())], ["slots"])
+
+    return run
+
+
+def _places_of(lengths: list[int], slots: bytes):
+    """Pieces with the places where a gram of the table may begin, each with the gram's length; others are left out."""
+    bits = (len(slots) << 3).bit_length() - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(np.frombuffer(slots, dtype="uint8")).view("bool")
+        for batch in batches:
+            sizes = batch.column("_size").to_numpy()
+            for first, bounds, codes in _slices(batch.column("_around")):
+                rows, places = [], []
+                for n, slot in _slots(codes, lengths, bits):
+                    at = np.flatnonzero(table[slot])
+                    row = np.searchsorted(bounds, at, side="right") - 1
+                    place = at - bounds[row]
+                    held = (at + n <= bounds[row + 1]) & (place < sizes[first + row])
+                    rows.append(row[held])
+                    places.append(place[held] * 16 + n)
+                row = np.concatenate([np.zeros(0, "int64"), *rows])
+                order = np.argsort(row, kind="stable")
+                named, count = np.unique(row, return_counts=True)
+                offsets = pa.array(np.r_[0, np.cumsum(count)], pa.int32())
+                place = pa.array(np.concatenate([np.zeros(0, "int64"), *places])[order], pa.int32())
+                kept = batch.take(pa.array(first + named))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.ListArray.from_arrays(offsets, place)], [*batch.schema.names, "_places"]
+                )
+
+    return run
 
 
 def _complete(found: DataFrame, keys: list[str], entry: str) -> DataFrame:
@@ -89,23 +182,26 @@ def match_segments(
     """(keys, entry) for every segment that contains all parts of an entry.
 
     Containment becomes an equi-join. A part is anchored on its leading gram, of the largest length in
-    ``GRAM_LENGTHS`` that fits; a segment offers one gram per position and gram length in use, with nothing
-    but its place. The characters at a place are fetched for hits only, from pieces of the segment that are
-    long enough for the longest part, and the part is verified on those. Rows and bytes of the expansion are
-    linear in the text, whatever the lexicon holds. ``shape`` is that of the lexicon; by default it is
-    computed here.
+    ``GRAM_LENGTHS`` that fits; a segment offers the grams in use at its positions, with nothing but their
+    place. A position whose gram is surely none of the anchors, by a table of their hashes of bounded size, is
+    left out before rows are made of positions; all others are decided by the join. The characters at a
+    place are fetched for hits only, from pieces of the segment that are long enough for the longest part, and
+    the part is verified on those. The work is linear in the text, and its bytes do not follow the longest entry.
+    ``shape`` is that of the lexicon; by default it is computed here.
     """
-    gram_lengths, longest = shape or lexicon_shape(lexicon, entry)
-    parts = _parts(lexicon, entry).withColumn("gram_length", _gram_length())
-    anchors = parts.withColumn("gram", F.substring("part", F.lit(1), F.col("gram_length"))).drop("gram_length")
+    shape = shape if shape is not None and shape.slots else lexicon_shape(lexicon, entry)
+    longest, anchors = shape.longest, _anchors(lexicon, entry)
     pieces = _pieces(segments, keys, text, max(PIECE, longest), longest)
-    last = F.least(F.length("_around") - F.col("_n"), F.col("_size") - 1)
+    schema = T.StructType([*pieces.schema.fields, T.StructField("_places", T.ArrayType(T.IntegerType()))])
     located = (
-        pieces.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in gram_lengths])))
-        .filter(F.length("_around") >= F.col("_n"))
-        .withColumn("_at", F.explode(F.sequence(F.lit(0), last)))
+        pieces.mapInArrow(_places_of(shape.gram_lengths, shape.slots), schema)
+        .withColumn("_place", F.explode("_places"))
+        .withColumn("_at", F.shiftright("_place", 4))
         # never null, so that the join does not compute it once more to test for that
-        .select(*keys, "_segment", "_piece", "_at", F.coalesce(F.substring(F.col("_around"), F.col("_at") + 1, F.col("_n")), F.lit("")).alias("gram"))
+        .select(
+            *keys, "_segment", "_piece", "_at",
+            F.coalesce(F.substring(F.col("_around"), F.col("_at") + 1, F.col("_place").bitwiseAND(15)), F.lit("")).alias("gram"),
+        )
     )
     hits = located.join(anchors, "gram").drop("gram").distinct()  # segments may be repeated
     place = [*keys, "_segment", "_piece"]

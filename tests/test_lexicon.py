@@ -39,3 +39,22 @@ def test_positions_carry_no_text(spark):
         assert "_ahead" not in plan and positions.rstrip().endswith("]")
     assert len(sizes) == 1  # a gram of at most eight characters, whatever the longest entry
     assert lexicon.match_segments(segments, segments.select(F.lit("text some").alias("word")), ["doc"]).count() == 1
+
+
+def test_places_without_an_anchor_make_no_row(spark):
+    r = random.Random(9)
+    text = "".join(r.choice("abcdefgh") for _ in range(40_000))
+    segments = spark.createDataFrame([(1, text), (2, "\0ab\0" + text[:50]), (3, None)], "doc long, segment string")
+    entries = [text[100:105], text[100:104] + "zz", text[700:709], "b\0"]
+    words = spark.createDataFrame([(e,) for e in entries], "word string")
+    shape = lexicon.lexicon_shape(words)
+    assert shape.gram_lengths == [2, 5, 6, 8] and shape.longest == 9
+    pieces = lexicon._pieces(segments, ["doc"], "segment", lexicon.PIECE, 9)
+    kernel = lexicon._places_of(shape.gram_lengths, shape.slots)
+    marked = [b for b in kernel(iter(pieces.toArrow().to_batches()))]
+    places = sum(len(b.column("_places").flatten()) for b in marked)
+    # before, every place made a row for each gram length, and each occurrence of the four leading characters of an entry a hit
+    held = sum((text + "\0ab\0" + text[:50]).count(e[:8]) for e in entries)
+    assert held <= places <= held + 40
+    got = {tuple(x) for x in lexicon.match_segments(segments, words, ["doc"], shape=shape).collect()}
+    assert got == {(d, e) for d, t in segments.collect() if t for e in entries if e in t}
