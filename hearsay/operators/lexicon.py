@@ -40,7 +40,7 @@ PIECE = 256
 #: the table of anchors has some 32 slots a gram, and 2 to the power of these at least and at most
 LEAST_BITS, MOST_BITS = 20, 24
 #: code points that are looked up at a time
-CODE_SLICE = 1 << 20
+CODE_SLICE = 1 << 18
 MIX, SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
 

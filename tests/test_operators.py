@@ -2,9 +2,11 @@
 
 import math
 import random
+import tracemalloc
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -411,6 +413,21 @@ def test_nearest_clusters_equal_the_closest_mean(spark):
     assert linkage.nearest_clusters(df.filter("cluster = 1")).first()["ci"] is None
 
 
+def test_keyword_memory_does_not_follow_the_batch():
+    def peak(texts):
+        tokens = [[f"w{(i * 7 + j * j) % 997}" for j in range(300)] for i in range(texts)]
+        batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(texts)]), pa.array(tokens)], ["_h", "tokens"])
+        del tokens
+        tracemalloc.start()
+        try:
+            assert sum(b.num_rows for b in text._rank_words(5, 3, 20)(iter([batch]))) == 20 * texts
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert peak(1600) < 1.5 * peak(400)
+
+
 def brute_keywords(words, window, rounds, top):
     near = {w: set() for w in words}
     for i, a in enumerate(words):
