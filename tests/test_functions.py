@@ -1,5 +1,7 @@
 """Scalar functions on hand-made rows."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,14 @@ def test_multiset_numbers_repeats(spark):
 def test_tokens_split_han_into_pairs(spark):
     assert value(spark, text.tokens_of(F.lit("Big 健康管理 x网"))) == ["big", "健康", "康管", "管理", "x", "网"]
     assert value(spark, text.tokens_of(F.lit("<p>Été, 42 times</p>"))) == ["été", "times"]
+
+
+def test_multiset_is_linear(spark):
+    n = 60_000
+    rows = [(1, ["a", "b"] * (n // 2)), (2, ["b", None, "a", "b", None]), (3, []), (4, None)]
+    df = spark.createDataFrame(rows, "i int, t array<string>")
+    start = time.time()
+    got = {r["i"]: r["m"] for r in df.select("i", multiset(F.col("t")).alias("m")).collect()}
+    assert time.time() - start < 20  # with a search for each token this took more than a minute
+    assert got[1] == [f"{t}#{k}" for t in "ab" for k in range(1, n // 2 + 1)]
+    assert (got[2], got[3], got[4]) == ([None, None, "a#1", "b#1", "b#2"], [], None)
