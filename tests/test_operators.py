@@ -577,3 +577,9 @@ def test_members_of_an_event_travel_once(spark):
     df = spark.createDataFrame([(1, i, f"alpha beta {i}. beta gamma {i}.") for i in range(5)], "e int, turn int, body string")
     plan = text.event_summary(df, "e", "turn", "body", labels.SENTENCE_MARKS)._jdf.queryExecution().executedPlan().toString()
     assert "mapinarrow" in plan.lower() and plan.count("Exchange") <= 4
+
+
+def test_event_summary_cuts_its_texts_once(spark):
+    df = spark.createDataFrame([("a", 1, "one two three. four five")], "e string, turn long, body string")
+    plan = text.event_summary(df, "e", "turn", "body", labels.SENTENCE_MARKS)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_extract_all" in line]
