@@ -241,6 +241,18 @@ def test_stored_events_keep_members_title_and_summary(spark):
     assert named["1/3"] == ("omega", "omega words here")
 
 
+def test_analysis_writes_contents_once(spark, tmp_path, monkeypatch):
+    from hearsay import workspace
+    from hearsay.plans.analysis import analyze
+
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: str(tmp_path))
+    requests = spark.createDataFrame([(3, 3), (140, 140)], "real_id long, search_id long")
+    result = analyze(requests, jobs.stored_tables(spark, SF), NOW, fx.WINDOWS, marks=labels.SENTENCE_MARKS)
+    assert result.reports.count() == 6
+    tables = {f.parent for f in tmp_path.rglob("*.parquet")}
+    assert sum("content_words" in spark.read.parquet(str(t)).columns for t in tables if "=" not in t.name) == 1
+
+
 SLOW = {"task_analysis", "analysis_stream", "assign_events", "match_stream", "rematch", "rematch_tokens"}
 
 
