@@ -158,3 +158,21 @@ def test_multiset_is_linear(spark):
     assert time.time() - start < 20  # with a search for each token this took more than a minute
     assert got[1] == [f"{t}#{k}" for t in "ab" for k in range(1, n // 2 + 1)]
     assert (got[2], got[3], got[4]) == ([None, None, "a#1", "b#1", "b#2"], [], None)
+
+
+@pytest.mark.parametrize("any_character", [True, False])
+def test_clean_title_cuts_a_title_once(spark, any_character):
+    df = spark.createDataFrame([("a,b c", "x")], "t string, s string")
+    found = df.select(strings.clean_title(F.col("t"), F.col("s"), any_character))
+    shown = found._jdf.queryExecution().analyzed().toString()
+    assert shown.count("split(t#") <= 2  # by marks and by spaces
+    assert shown.count("split(s#") <= 1
+
+
+def test_tokens_clean_a_text_once(spark):
+    from hearsay.operators.text import tokens_of
+
+    df = spark.createDataFrame([("A b",), ("x网页链接天地玄黄 Él",), (None,)], "t string")
+    found = df.select(tokens_of(F.col("t")).alias("n"))
+    assert found._jdf.queryExecution().analyzed().toString().count("lower(t#") == 1
+    assert [r["n"] for r in found.collect()] == [["a", "b"], ["x", "天地", "地玄", "玄黄", "él"], None]
