@@ -1,6 +1,8 @@
 """Sinks, files, streams, plans and the registered queries."""
 
 import json
+import os
+import time
 from datetime import datetime
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from hearsay import labels
-from hearsay.operators import scoring
+from hearsay.operators import scoring, text
 from hearsay.plans.matching import match_mentions
 from hearsay.operators.projections import parse_mentions
 from hearsay.sinks import store as store_module
@@ -20,6 +22,7 @@ from hearsay.streaming.match import dedup, event_time, last_message, match_strea
 from hearsay.streaming.analysis import analysis_stream
 from hearsay.workload import fixtures as fx
 from hearsay.workload import jobs
+from hearsay.workspace import CLEANUP, Rounds
 from tests import oracle
 
 SF = "/root/testdata/sf0.001"
@@ -288,3 +291,35 @@ def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
 
 def test_sentence_ranking_moves_no_data_beyond_spreading_a_small_input(spark):
     assert "Exchange hashpartitioning" not in plan(entry.queries()["extract_summary"](spark, SF))
+
+
+def test_written_rounds_leave_no_shuffle_files(spark):
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath()
+
+    def data() -> set[str]:
+        return {name for _, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")}
+
+    before = data()
+    assert {tuple(r) for r in Rounds(spark, "tidy").write(rows, "rows").collect()} == {(k, 1000 // 7 + (k < 6)) for k in range(7)}
+    left = set()
+    for _ in range(50):  # files are removed in the background
+        left = data() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(CLEANUP, None) is None
+
+
+@pytest.mark.parametrize("most", [1, 100, 10**6])
+def test_summaries_by_part_equal_those_of_the_whole(spark, most):
+    """Events 0 to 4 lie in one part each, event 5 in many; a pass of one part, of some, of all."""
+    rows = [(i % 6, i if i % 6 == 5 else i % 6, i, f"alpha w{i % 7} beta. gamma w{i % 5} w{i % 3}; delta {i}") for i in range(60)]
+    mentions = spark.createDataFrame(rows, "event int, search long, id long, content_words string")
+    work = Rounds(spark, "parts")
+    kept, texts = text.set_apart(work, mentions, "search")
+    placed = kept.select(F.col("event").cast("string").alias("event_key"), "id", "text_id", "text_part", F.col("text_length").alias("size"))
+    assert placed.filter("event_key = '5'").select("text_part").distinct().count() > 1
+    found = text.summaries_by_part(work, placed, texts, F.col("content_words"), labels.SENTENCE_MARKS, most)
+    whole = text.event_summary(mentions.withColumn("event_key", F.col("event").cast("string")), "event_key", "id", "content_words", labels.SENTENCE_MARKS)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect())) and whole.count() == 6
