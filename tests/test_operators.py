@@ -373,6 +373,18 @@ def test_average_linkage_equals_brute_force(spark, block):
         assert {frozenset(g) for g in groups.values()} == brute_linkage(rows, 0.3)
 
 
+@pytest.mark.parametrize("pairs", [0, linkage.CHAIN_PAIRS])
+def test_large_components_link_alike_by_rounds_and_by_a_chain(spark, monkeypatch, pairs):
+    rows = texts(random.Random(77), 48, words=14, length=10, copies=0.25)
+    bags = similarity.cosine_bags(spark.createDataFrame(rows, "id long, tokens array<string>"), F.col("tokens"))
+    if pairs:
+        monkeypatch.setattr(blocks, "run", None)  # tasks over pairs of blocks, one for each round
+    groups = {}
+    for r in linkage.hierarchical_cluster(bags, 0.3, local_rows=2, chain_pairs=pairs).collect():
+        groups.setdefault(r["cluster_id"], set()).add(r["id"])
+    assert {frozenset(g) for g in groups.values()} == brute_linkage(rows, 0.3) and max(map(len, groups.values())) > 2
+
+
 def test_linkage_of_frequent_tokens_only(spark):
     rows = [(i, ["a"] * (1 + i % 5) + ["b"] * (1 + i % 7)) for i in range(70)]  # every token in all rows
     df = spark.createDataFrame(rows, "id long, tokens array<string>")
