@@ -575,6 +575,20 @@ def test_rows_travel_a_bounded_number_of_times(spark):
     assert tasks.agg(F.max("n")).first()[0] == 1
 
 
+def test_passes_bound_what_travels_and_lose_no_pair(spark, monkeypatch):
+    rows = texts(random.Random(9), 60, words=12, length=9, copies=0.2)
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    whole = sorted(map(tuple, density.copy_ratio_cluster(df, F.col("tokens"), 0.5, 2, block_rows=8).collect()))
+    monkeypatch.setattr(blocks, "PASS_ITEMS", 200)
+    bags = density.coded(similarity.collapse(similarity.ratio_bags(df, F.col("tokens"))))
+    passes = density.dealt(bags, 0.5, "ratio", 8)
+    tasks = [{r[0] for r in p.select("task").distinct().collect()} for p in passes]
+    assert len(passes) > 3 and sum(map(len, tasks)) == len(set().union(*tasks))
+    assert max(p.agg(F.sum(F.size("codes"))).first()[0] for p in passes) <= 400
+    assert "weights" not in passes[0].columns
+    assert sorted(map(tuple, density.copy_ratio_cluster(df, F.col("tokens"), 0.5, 2, block_rows=8).collect())) == whole
+
+
 def test_summaries_are_equal_in_one_row_and_by_rounds(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(12)]
